@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.operators.joins import lookup_join
+from martwright.operators.joins import hold, lookup_join
 from martwright.sources.sinks import overwrite, read_if_exists, replace_partitions
 
 
@@ -55,23 +55,42 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target with changed keys replaced and new keys added."""
+    """The target with changed keys replaced and new keys added.
+
+    ``changes`` is read twice; ``hold`` it first when it is costly to build.
+    """
     kept = lookup_join(target, changes.select(*keys), list(keys), "left_anti")
     return kept.select(changes.columns).unionByName(changes)
 
 
+def only_partitions_of(df: DataFrame, chosen: DataFrame, partition: str) -> DataFrame:
+    """Rows of the partitions named in ``chosen``.
+
+    Partition values are few by design, so they are read up front and become
+    literals that prune the scan.
+    """
+    values = [row[0] for row in chosen.select(partition).distinct().collect()]
+    return df.where(F.col(partition).isin(values))
+
+
 def recompute_touched(
-    batch_keys: DataFrame,
+    touched: DataFrame,
     facts: DataFrame,
     keys: Sequence[str],
     build: Callable[[DataFrame], DataFrame],
+    *,
+    partition: str | None = None,
 ) -> DataFrame:
-    """Mart rows of every key a batch touches, built from all facts of those keys.
+    """Mart rows of every key in ``touched``, built from all facts of those keys.
 
-    Right for late rows and stray dates, and the same when run twice.
+    Right for late rows and stray dates, and the same when run twice. Name the
+    ``partition`` column of the facts, also present in ``touched``, to read only
+    the partitions that hold such keys.
     """
-    touched = batch_keys.select(*keys).distinct()
-    return build(lookup_join(facts, touched, list(keys), "left_semi"))
+    if partition is not None:
+        facts = only_partitions_of(facts, touched, partition)
+    chosen = touched.select(*keys).distinct()
+    return build(lookup_join(facts, chosen, list(keys), "left_semi"))
 
 
 def merge_into(
@@ -84,6 +103,7 @@ def merge_into(
     the job die in the last step, ``replay`` finishes it.
     """
     spark = changes.sparkSession
+    changes = hold(changes)
     repeated = repeated_keys(changes, keys).first()
     if repeated is not None:
         raise ValueError(f"key occurs more than once in the batch: {repeated.asDict()}")
@@ -91,8 +111,7 @@ def merge_into(
     if target is None:
         replace_partitions(changes, path, partition)
         return
-    touched = changes.select(partition).distinct()
-    merged = upsert(lookup_join(target, touched, partition, "left_semi"), changes, keys)
+    merged = upsert(only_partitions_of(target, changes, partition), changes, keys)
     overwrite(merged, staging)
     replay(spark, path, partition, staging)
 

@@ -12,6 +12,12 @@ from martwright.session import shared_folder
 BROADCAST_ROWS = 100_000
 
 
+def hold(df: DataFrame) -> DataFrame:
+    """Checkpoint a result that is used more than once; survives lost executors."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -26,8 +32,7 @@ def lookup_join(
     and counted. Up to ``max_rows`` narrow rows it is broadcast; beyond that it is
     an ordinary shuffled join, where adaptive execution splits the hot keys.
     """
-    shared_folder(facts.sparkSession)
-    lookup = lookup.checkpoint()
+    lookup = hold(lookup)
     small = lookup.limit(max_rows + 1).count() <= max_rows
     keys = [on] if isinstance(on, str) else list(on)
     return facts.join(F.broadcast(lookup) if small else lookup, keys, how)

@@ -102,8 +102,8 @@ def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             counts.append(F.count_if(takes_part).alias(f"seen_{number}"))
             counts.append(F.count_if(takes_part & ~holds).alias(f"bad_{number}"))
             evaluated, failing = F.col(f"seen_{number}"), F.col(f"bad_{number}")
-            passed = (evaluated - failing) >= F.lit(check.mostly) * evaluated
-        share = F.coalesce(F.try_divide(evaluated - failing, evaluated), F.lit(1.0))
+            share = F.coalesce(F.try_divide(evaluated - failing, evaluated), F.lit(1.0))
+            passed = share >= check.mostly
         if check.kind in ("row_count", "column_set"):
             share = F.when(passed, F.lit(1.0)).otherwise(F.lit(0.0))
         lines.append(

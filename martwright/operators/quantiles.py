@@ -98,7 +98,14 @@ def exact_quantiles(
     *,
     bands: int = BANDS,
 ) -> DataFrame:
-    """Quantiles of ``value`` per group, e.g. ``{"median": 0.5}``."""
-    counts = value_counts_of(df, keys, value)
-    groups = counts.groupBy(*keys).agg(F.sum("n").alias("n_rows"), band_edges(bands).alias("edges"))
-    return quantiles_of_counts(counts, groups, keys, probabilities)
+    """Quantiles of ``value`` per group, e.g. ``{"median": 0.5}``.
+
+    The group is packed in a struct so that a NULL key joins to itself.
+    """
+    packed = df.select(F.struct(*keys).alias("group"), value)
+    counts = value_counts_of(packed, ["group"], value)
+    groups = counts.groupBy("group").agg(
+        F.sum("n").alias("n_rows"), band_edges(bands).alias("edges")
+    )
+    found = quantiles_of_counts(counts, groups, ["group"], probabilities)
+    return found.select("group.*", *probabilities)

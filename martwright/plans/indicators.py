@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from martwright.functions.labels import INVERSE_INDICATORS, NEUTRAL_INDICATORS, RATE_INDICATORS
 from martwright.operators.serving import cards, latest
 from martwright.operators.staging import stage_series
-from martwright.operators.windows import RATE_SERIES, with_change
+from martwright.operators.windows import RATE_SERIES
 from martwright.plans.contracts import SERIES_NAMES
-from martwright.plans.marts import stamped
+from martwright.plans.marts import indicator_change, stamped
 from martwright.schemas import RAW_SERIES
 from martwright.sources.documents import read_series
 from martwright.sources.landing import typed_raw
@@ -29,7 +29,7 @@ def refresh(
     full_refresh(typed_raw(read_series(spark, landing, names), RAW_SERIES), f"{folder}/raw_series")
     staged = stage_series(read_refreshed(spark, f"{folder}/raw_series"))
     mart = f"{folder}/mart_economic_indicators"
-    overwrite(stamped(with_change(staged, rate_series)), mart)
+    overwrite(stamped(indicator_change(staged, rate_series)), mart)
     return spark.read.parquet(mart)
 
 

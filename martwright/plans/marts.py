@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from martwright.functions.measures import (
     total,
     units,
 )
+from martwright.operators.windows import RATE_SERIES, with_change
 
 # Shortest and longest trip, in minutes, that counts for the duration mart.
 DURATION_BAND = (1, 180)
@@ -116,6 +119,15 @@ def trip_duration(
     )
 
 
+def indicator_change(
+    series: DataFrame, rate_series: Sequence[str] = tuple(RATE_SERIES)
+) -> DataFrame:
+    """Every observation with the one before it and the change between them."""
+    return with_change(series, rate_series).select(
+        "observation_date", "indicator_name", "series_id", "value", "prev_value", "mom_change"
+    )
+
+
 def country_snapshot(country_years: DataFrame, first_year: int = SNAPSHOT_FIRST_YEAR) -> DataFrame:
     """Country-year figures in display units beside the US values of the year."""
 

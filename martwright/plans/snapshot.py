@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.operators.incremental import after_watermark, upsert
-from martwright.operators.joins import country_with_us
+from martwright.operators.joins import country_with_us, hold
 from martwright.operators.reshape import annual, widen
 from martwright.operators.staging import stage_country, stage_series_with_value
 from martwright.plans.contracts import (
@@ -40,8 +40,8 @@ def load_series(spark: SparkSession, landing: str, path: str, names: Mapping[str
     """Add observations from each series' newest date on; that date is read again and replaced."""
     stored = _stored(spark, path, RAW_SERIES_NAMED)
     delivered = typed_raw(read_series_strict(spark, landing, names), RAW_SERIES_NAMED)
-    fresh = after_watermark(
-        delivered, stored, ["series_id"], "date", F.lit(FIRST_DATE), inclusive=True
+    fresh = hold(
+        after_watermark(delivered, stored, ["series_id"], "date", F.lit(FIRST_DATE), inclusive=True)
     )
     full_refresh(upsert(stored, fresh, ["series_id", "date"]), path)
 

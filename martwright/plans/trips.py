@@ -8,13 +8,16 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from martwright.functions.calendar import month_start
 from martwright.functions.casts import safe_double, safe_time
 from martwright.operators.incremental import merge_into, recompute_touched
-from martwright.operators.joins import with_zones
+from martwright.operators.joins import hold, with_zones
 from martwright.operators.quality import Check, run_suite, suite_passed
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import marts
+from martwright.schemas import STAGED_TRIPS
 from martwright.sources.sinks import load_month, log_run, overwrite
 
 
@@ -50,6 +53,10 @@ class TripTables:
         return f"{self.folder}/{name}"
 
 
+# Layout of the stored staged trips: partitioned by file month, then pickup month.
+STORED_TRIPS = T.StructType([*STAGED_TRIPS, T.StructField("pickup_month", T.DateType())])
+
+
 def staged_trips(raw: DataFrame, settings: TripSettings) -> DataFrame:
     return valid_trips(cast_trips(raw), settings.first_day, settings.end_day)
 
@@ -62,7 +69,13 @@ def land_month(raw: DataFrame, tables: TripTables, month: str, settings: TripSet
     landed = load_month(raw, tables.raw_trips, month)
     stored = raw.sparkSession.read.schema(raw.schema).parquet(tables.raw_trips)
     staged = staged_trips(stored.where(F.col("SOURCE_MONTH") == month), settings)
-    load_month(staged, tables.staged_trips, month, by="source_month")
+    load_month(
+        staged.withColumn("pickup_month", month_start(F.col("pickup_date"))),
+        tables.staged_trips,
+        month,
+        by="source_month",
+        then_by=["pickup_month"],
+    )
     return landed
 
 
@@ -75,9 +88,10 @@ def build_marts(
     settings: TripSettings,
 ) -> None:
     """Merge the dated marts for the days the month's file touches, rebuild the others."""
-    staged = spark.read.parquet(tables.staged_trips)
+    staged = spark.read.schema(STORED_TRIPS).parquet(tables.staged_trips)
     joined = with_zones(staged, zones, ["pickup"])
     arrived = joined.where(F.col("source_month") == month)
+    touched = hold(arrived.select("pickup_month", "pickup_date", "pickup_borough").distinct())
 
     def duration(trips: DataFrame) -> DataFrame:
         return marts.trip_duration(trips, settings.shortest, settings.longest)
@@ -87,9 +101,11 @@ def build_marts(
         "mart_trip_duration": (duration, "trip_date"),
     }
     for name, (build, day) in dated.items():
-        fresh = recompute_touched(arrived, joined, ["pickup_date", "pickup_borough"], build)
+        fresh = recompute_touched(
+            touched, joined, ["pickup_date", "pickup_borough"], build, partition="pickup_month"
+        )
         merge_into(
-            fresh.withColumn("mart_month", F.trunc(day, "MM")),
+            fresh.withColumn("mart_month", month_start(F.col(day))),
             getattr(tables, name),
             [day, "pickup_borough"],
             "mart_month",

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def layout(text: str) -> T.StructType:
+    """A flat layout from ``"name type, name type"``; unlike a DDL it needs no session."""
+    struct = T.StructType()
+    for column in text.split(","):
+        struct.add(*column.split())
+    return struct
 
 
 # Staged trip columns, each with the raw column it comes from.
@@ -66,47 +70,45 @@ RAW_TRIP_COLUMNS = [
 ]
 
 RAW_TRIPS = T.StructType([T.StructField(name, T.StringType()) for name in RAW_TRIP_COLUMNS])
-ZONES_CSV = _struct("LocationID string, Borough string, Zone string, service_zone string")
+ZONES_CSV = layout("LocationID string, Borough string, Zone string, service_zone string")
 
 # Monthly trip files as delivered: typed columns, no month.
-TRIP_FILE = _struct(
-    "VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz,"
+TRIP_FILE = layout(
+    "VendorID integer, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz,"
     " passenger_count double, trip_distance double, RatecodeID double,"
-    " store_and_fwd_flag string, PULocationID int, DOLocationID int, payment_type bigint,"
+    " store_and_fwd_flag string, PULocationID integer, DOLocationID integer, payment_type long,"
     " fare_amount double, extra double, mta_tax double, tip_amount double,"
     " tolls_amount double, improvement_surcharge double, total_amount double,"
     " congestion_surcharge double, Airport_fee double, cbd_congestion_fee double"
 )
 
-STAGED_TRIPS = _struct(
-    "vendor_id int, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz,"
-    " passenger_count int, trip_distance double, pickup_location_id int,"
-    " dropoff_location_id int, rate_code_id int, payment_type int, fare_amount double,"
+STAGED_TRIPS = layout(
+    "vendor_id integer, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz,"
+    " passenger_count integer, trip_distance double, pickup_location_id integer,"
+    " dropoff_location_id integer, rate_code_id integer, payment_type integer, fare_amount double,"
     " extra double, mta_tax double, tip_amount double, tolls_amount double,"
     " improvement_surcharge double, total_amount double, congestion_surcharge double,"
     " airport_fee double, cbd_congestion_fee double, store_and_fwd_flag string,"
-    " source_month string, trip_duration_minutes bigint, pickup_date date"
+    " source_month string, trip_duration_minutes long, pickup_date date"
 )
 
 # Series tables of the indicator and the snapshot job.
-RAW_SERIES = _struct(
+RAW_SERIES = layout(
     "date date, value double, indicator_name string, series_id string, loaded_at timestamp"
 )
-RAW_SERIES_NAMED = _struct(
+RAW_SERIES_NAMED = layout(
     "series_id string, series_name string, date date, value double, loaded_at timestamp"
 )
-RAW_COUNTRY = _struct(
+RAW_COUNTRY = layout(
     "country_code string, country_name string, indicator_id string, indicator_name string,"
-    " year int, value double, loaded_at timestamp"
+    " year integer, value double, loaded_at timestamp"
 )
 
-RUN_LOG = _struct(
+RUN_LOG = layout(
     "run_id string, month_processed string, status string, task_name string, message string"
 )
 
-SERIES_DOCUMENT = _struct(
-    "observations array<struct<date: string, value: string>>, series_id string"
-)
+SERIES_DOCUMENT = "observations array<struct<date: string, value: string>>, series_id string"
 COUNTRY_ROWS = (
     "array<struct<countryiso3code: string, country: struct<id: string, value: string>,"
     " date: string, value: double>>"

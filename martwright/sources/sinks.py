@@ -44,7 +44,9 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def load_month(df: DataFrame, path: str, month: str, by: str = "SOURCE_MONTH") -> bool:
+def load_month(
+    df: DataFrame, path: str, month: str, by: str = "SOURCE_MONTH", then_by: Sequence[str] = ()
+) -> bool:
     """Write one month unless the table already has it; True when written.
 
     The look-up prunes to the month's partition and stops at its first row. The
@@ -54,7 +56,7 @@ def load_month(df: DataFrame, path: str, month: str, by: str = "SOURCE_MONTH") -
     loaded = read_if_exists(spark, path)
     if loaded is not None and not loaded.where(F.col(by) == month).isEmpty():
         return False
-    replace_partitions(df.where(F.col(by) == month), path, by)
+    replace_partitions(df.where(F.col(by) == month), path, [by, *then_by])
     return True
 
 
