@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import hold, lookup_join
-from martwright.sources.sinks import overwrite, read_if_exists, replace_partitions
+from martwright.sources.sinks import (
+    add_version,
+    full_refresh,
+    latest_version,
+    read_if_exists,
+    read_refreshed,
+    replace_partitions,
+)
+
+APPLIED = "applied"
 
 
 def newer_months(df: DataFrame, day: str, target: DataFrame, target_day: str) -> DataFrame:
@@ -99,23 +108,26 @@ def merge_into(
     """Upsert into a partitioned parquet table, rewriting only the touched partitions.
 
     ``partition`` must follow from the keys, so a key never moves. The merged
-    partitions are complete in ``staging`` before the table is touched: should
-    the job die in the last step, ``replay`` finishes it.
+    partitions are complete in ``staging`` before the table is touched. A job
+    that dies while moving them loses nothing: the next merge moves them first.
     """
     spark = changes.sparkSession
     changes = hold(changes)
     repeated = repeated_keys(changes, keys).first()
     if repeated is not None:
         raise ValueError(f"key occurs more than once in the batch: {repeated.asDict()}")
+    finish_merge(spark, path, partition, staging)
     target = read_if_exists(spark, path)
     if target is None:
         replace_partitions(changes, path, partition)
         return
-    merged = upsert(only_partitions_of(target, changes, partition), changes, keys)
-    overwrite(merged, staging)
-    replay(spark, path, partition, staging)
+    full_refresh(upsert(only_partitions_of(target, changes, partition), changes, keys), staging)
+    finish_merge(spark, path, partition, staging)
 
 
-def replay(spark, path: str, partition: str, staging: str) -> None:
-    """Move fully staged partitions into the table; harmless when repeated."""
-    replace_partitions(spark.read.parquet(staging), path, partition)
+def finish_merge(spark: SparkSession, path: str, partition: str, staging: str) -> None:
+    """Move fully staged partitions into the table unless that has been done."""
+    staged = latest_version(spark, staging)
+    if staged > latest_version(spark, staging, APPLIED):
+        replace_partitions(read_refreshed(spark, staging), path, partition)
+        add_version(spark, staging, staged, APPLIED)

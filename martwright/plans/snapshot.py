@@ -23,7 +23,7 @@ from martwright.plans.marts import SNAPSHOT_FIRST_YEAR, country_snapshot, stampe
 from martwright.schemas import RAW_COUNTRY, RAW_SERIES_NAMED
 from martwright.sources.documents import read_country_indicators, read_series_strict
 from martwright.sources.landing import typed_raw
-from martwright.sources.sinks import full_refresh, overwrite, read_if_exists, read_refreshed
+from martwright.sources.sinks import full_refresh, latest_version, overwrite, read_refreshed
 
 # Where loading starts for a series or country not seen before.
 FIRST_DATE = date(2000, 1, 1)
@@ -31,7 +31,7 @@ FIRST_YEAR = 2000
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if read_if_exists(spark, f"{path}/versions") is None:
+    if latest_version(spark, path) == 0:
         return spark.createDataFrame([], schema)
     return read_refreshed(spark, path)
 

@@ -84,7 +84,6 @@ def build_marts(
     tables: TripTables,
     zones: DataFrame,
     month: str,
-    run_id: str,
     settings: TripSettings,
 ) -> None:
     """Merge the dated marts for the days the month's file touches, rebuild the others."""
@@ -109,7 +108,7 @@ def build_marts(
             getattr(tables, name),
             [day, "pickup_borough"],
             "mart_month",
-            f"{tables.folder}/merging/{name}/{run_id}",
+            f"{tables.folder}/merging/{name}",
         )
     overwrite(marts.pickup_zones(joined), tables.mart_pickup_zones)
     overwrite(marts.payment_summary(staged), tables.mart_payment_summary)
@@ -140,7 +139,7 @@ def run_month(
         landed = spark.read.schema(raw.schema).parquet(tables.raw_trips)
         this_month = landed.where(F.col("SOURCE_MONTH") == month)
         if suite_passed(run_suite(coerce_for_checks(this_month), checks)):
-            build_marts(spark, tables, zones, month, run_id, settings)
+            build_marts(spark, tables, zones, month, settings)
             built = True
         else:
             log_run(

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from martwright.schemas import RUN_LOG
 
+KEPT_VERSIONS = 4
+
 
 def read_if_exists(
     spark: SparkSession, path: str, schema: T.StructType | None = None
@@ -60,27 +62,40 @@ def load_month(
     return True
 
 
+def latest_version(spark: SparkSession, path: str, list_name: str = "versions") -> int:
+    """Newest entry of a version list below ``path``; 0 before the first."""
+    versions = read_if_exists(spark, f"{path}/{list_name}")
+    return (versions.agg(F.max("version")).first()[0] or 0) if versions is not None else 0
+
+
+def add_version(
+    spark: SparkSession, path: str, version: int, list_name: str = "versions"
+) -> None:
+    entry = spark.range(1).select(F.lit(version).alias("version")).coalesce(1)
+    entry.write.mode("append").parquet(f"{path}/{list_name}")
+
+
+def _version_folder(path: str, version: int) -> str:
+    return f"{path}/data/{version % KEPT_VERSIONS}"
+
+
 def full_refresh(df: DataFrame, path: str) -> int:
     """Replace the whole table in one step and return its version.
 
-    The rows go to a new folder first; readers move to it only when the version
-    list gains its row, so a failed write leaves the old table in place.
+    The rows go to a folder no recent reader uses; readers move to it only when
+    the version list gains its entry, so a failed write leaves the old table in
+    place. The last few versions stay for readers already under way.
     """
     spark = df.sparkSession
-    versions = read_if_exists(spark, f"{path}/versions")
-    latest = versions.agg(F.max("version")).first()[0] if versions is not None else None
-    version = (latest or 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/data/{version}")
-    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode(
-        "append"
-    ).parquet(f"{path}/versions")
+    version = latest_version(spark, path) + 1
+    overwrite(df, _version_folder(path, version))
+    add_version(spark, path, version)
     return version
 
 
 def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a table written by ``full_refresh``."""
-    version = spark.read.parquet(f"{path}/versions").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/data/{version}")
+    return spark.read.parquet(_version_folder(path, latest_version(spark, path)))
 
 
 def log_run(
@@ -94,8 +109,11 @@ def log_run(
     message: str,
 ) -> None:
     """Append one row to the run log."""
-    row = [(run_id, month, status, task, message)]
-    spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").parquet(path)
+    values = (run_id, month, status, task, message)
+    row = spark.range(1).select(
+        [F.lit(value).alias(name) for name, value in zip(RUN_LOG.names, values, strict=True)]
+    )
+    row.coalesce(1).write.mode("append").parquet(path)
 
 
 def publish(df: DataFrame, name: str, layer: str, folder: str) -> DataFrame:
