@@ -25,14 +25,16 @@ def lookup_join(
     how: str,
     *,
     max_rows: int = BROADCAST_ROWS,
+    held: bool = False,
 ) -> DataFrame:
     """Join facts to a table derived from other data, without shuffling the facts if it is small.
 
     Spark can only guess the size of an aggregate, so the lookup is checkpointed
     and counted. Up to ``max_rows`` narrow rows it is broadcast; beyond that it is
     an ordinary shuffled join, where adaptive execution splits the hot keys.
+    Pass ``held`` when the lookup is a stored or checkpointed table already.
     """
-    lookup = hold(lookup)
+    lookup = lookup if held else hold(lookup)
     small = lookup.limit(max_rows + 1).count() <= max_rows
     keys = [on] if isinstance(on, str) else list(on)
     return facts.join(F.broadcast(lookup) if small else lookup, keys, how)

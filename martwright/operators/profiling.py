@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.measures import from_units, ratio_of, round_half_up, units
+from martwright.operators.joins import hold
 from martwright.operators.quantiles import band_edges, quantiles_of_counts, value_counts_of
 
 
@@ -57,11 +58,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     measures = df.select([F.col(name).cast("double").alias(name) for name in columns])
     long = measures.unpivot([], list(columns), "measure", "amount")
-    counts = value_counts_of(long, ["measure"], "amount")
+    counts = hold(value_counts_of(long, "measure", "amount"))
 
     n, amount = F.col("n"), units(F.col("value"))
     whole = amount.cast("decimal(19,0)")
-    summary = counts.groupBy("measure").agg(
+    totals = counts.groupBy("measure").agg(
         F.sum("n").alias("n_rows"),
         F.sum(n * amount).alias("_sum"),
         F.sum((whole * whole * n).cast("decimal(38,0)")).alias("_squares"),
@@ -69,8 +70,9 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("value").alias("max"),
         band_edges().alias("edges"),
     )
+    summary = hold(totals)
     quartiles = quantiles_of_counts(
-        counts, summary, ["measure"], {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+        counts, summary, "measure", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     )
     spread = F.col("_squares").cast("double") - F.pow(F.col("_sum").cast("double"), 2) / F.col("n_rows")
     deviation = F.sqrt(F.try_divide(spread, F.col("n_rows") - 1))

@@ -1,8 +1,9 @@
 """Exact interpolated quantiles of groups of any size.
 
 The built-in exact percentile keeps every distinct value of a group in one task.
-Here values are counted first, which spreads even one huge group over all tasks,
-then only the narrow band of values around each wanted rank is put in order.
+Here values are counted first, which spreads even one huge group over all tasks
+and is held, so the data is read once. Then only the narrow band of values around
+each wanted rank is put in order.
 The band edges are approximate quantiles, but rows are counted per band exactly,
 so a poor edge costs time and never a wrong answer.
 """
@@ -14,13 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.joins import hold, lookup_join
+
 BANDS = 64
 
 
-def value_counts_of(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def value_counts_of(df: DataFrame, key: str, value: str) -> DataFrame:
     """One row per group and distinct non-null value, with its number of rows ``n``."""
     kept = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    return kept.groupBy(*keys, F.col(value).cast("double").alias("value")).agg(
+    return kept.groupBy(key, F.col(value).cast("double").alias("value")).agg(
         F.count("*").alias("n")
     )
 
@@ -32,17 +35,20 @@ def band_edges(bands: int = BANDS) -> Column:
 
 
 def quantiles_of_counts(
-    counts: DataFrame, groups: DataFrame, keys: Sequence[str], probabilities: dict[str, float]
+    counts: DataFrame, groups: DataFrame, key: str, probabilities: dict[str, float]
 ) -> DataFrame:
-    """Quantile columns per group.
+    """Quantile columns per group, both inputs being held tables.
 
     ``counts`` comes from ``value_counts_of``; ``groups`` has one row per group with
     its total ``n_rows`` and its ``edges``. ``probabilities`` names the outputs.
     """
-    keys = list(keys)
-    edges = groups.select(*keys, "n_rows", "edges")
-    banded = counts.join(edges, keys).withColumn(
-        "band", F.size(F.filter("edges", lambda edge: edge < F.col("value")))
+    edges = groups.select(key, "n_rows", "edges")
+    banded = lookup_join(counts, edges, key, "inner", held=True).select(
+        key,
+        "value",
+        "n",
+        "n_rows",
+        F.size(F.filter("edges", lambda edge: edge < F.col("value"))).alias("band"),
     )
 
     def rank_below(probability: float) -> Column:
@@ -54,9 +60,9 @@ def quantiles_of_counts(
     wanted = F.array(
         *[rank(p) for p in probabilities.values() for rank in (rank_below, rank_above)]
     )
-    along_bands = Window.partitionBy(*keys).orderBy("band")
+    along_bands = Window.partitionBy(key).orderBy("band")
     bands = (
-        banded.groupBy(*keys, "band", "n_rows")
+        banded.groupBy(key, "band", "n_rows")
         .agg(F.sum("n").alias("in_band"))
         .withColumn("before", F.sum("in_band").over(along_bands) - F.col("in_band"))
         .where(
@@ -66,10 +72,10 @@ def quantiles_of_counts(
                 & (rank < F.col("before") + F.col("in_band")),
             )
         )
-        .select(*keys, "band", "before")
+        .select(key, "band", "before")
     )
-    inside = Window.partitionBy(*keys, "band").orderBy("value")
-    ranked = banded.join(bands, [*keys, "band"]).withColumn(
+    inside = Window.partitionBy(key, "band").orderBy("value")
+    ranked = lookup_join(banded, bands, [key, "band"], "inner").withColumn(
         "up_to", F.col("before") + F.sum("n").over(inside)
     )
 
@@ -77,7 +83,7 @@ def quantiles_of_counts(
         covered = (rank < F.col("up_to")) & (rank >= F.col("up_to") - F.col("n"))
         return F.max(F.when(covered, F.col("value")))
 
-    found = ranked.groupBy(*keys, "n_rows").agg(
+    found = ranked.groupBy(key, "n_rows").agg(
         *[value_at(rank_below(p)).alias(f"{name}_low") for name, p in probabilities.items()],
         *[value_at(rank_above(p)).alias(f"{name}_high") for name, p in probabilities.items()],
     )
@@ -87,7 +93,7 @@ def quantiles_of_counts(
         position = F.lit(probability) * (F.col("n_rows") - 1)
         return (low + (high - low) * (position - rank_below(probability))).alias(name)
 
-    return found.select(*keys, *[interpolated(name, p) for name, p in probabilities.items()])
+    return found.select(key, *[interpolated(name, p) for name, p in probabilities.items()])
 
 
 def exact_quantiles(
@@ -103,9 +109,9 @@ def exact_quantiles(
     The group is packed in a struct so that a NULL key joins to itself.
     """
     packed = df.select(F.struct(*keys).alias("group"), value)
-    counts = value_counts_of(packed, ["group"], value)
-    groups = counts.groupBy("group").agg(
-        F.sum("n").alias("n_rows"), band_edges(bands).alias("edges")
+    counts = hold(value_counts_of(packed, "group", value))
+    groups = hold(
+        counts.groupBy("group").agg(F.sum("n").alias("n_rows"), band_edges(bands).alias("edges"))
     )
-    found = quantiles_of_counts(counts, groups, ["group"], probabilities)
+    found = quantiles_of_counts(counts, groups, "group", probabilities)
     return found.select("group.*", *probabilities)
