@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.calendar import minutes_crossed
-from martwright.functions.casts import safe_double, safe_int, safe_time
+from martwright.functions.casts import parse_columns, safe_int
 from martwright.schemas import (
     STAGED_TRIPS,
     TRIP_INTEGERS,
@@ -23,11 +23,9 @@ TRIP_WINDOW = (date(2025, 1, 1), date(2026, 3, 1))
 
 def cast_trips(raw: DataFrame) -> DataFrame:
     """Raw text trips to typed columns, plus pickup date and duration in minutes."""
-    columns = {name: safe_int(F.col(source)) for name, source in TRIP_INTEGERS.items()}
-    columns |= {name: safe_double(F.col(source)) for name, source in TRIP_MEASURES.items()}
-    columns |= {name: safe_time(F.col(source)) for name, source in TRIP_TIMES.items()}
-    columns |= {name: F.col(source) for name, source in TRIP_TEXTS.items()}
-    typed = raw.select([column.alias(name) for name, column in columns.items()])
+    typed = parse_columns(
+        raw, measures=TRIP_MEASURES, integers=TRIP_INTEGERS, times=TRIP_TIMES, keep=TRIP_TEXTS
+    )
     return with_trip_times(typed).select(STAGED_TRIPS.names)
 
 

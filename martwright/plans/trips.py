@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.functions.calendar import month_start
-from martwright.functions.casts import safe_double, safe_time
+from martwright.functions.casts import parse_columns
 from martwright.operators.incremental import merge_into, recompute_touched
 from martwright.operators.joins import hold, with_zones
 from martwright.operators.quality import Check, run_suite, suite_passed
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import marts
 from martwright.schemas import STAGED_TRIPS
+from martwright.session import tune
 from martwright.sources.sinks import load_month, log_run, overwrite
 
 
@@ -25,10 +26,14 @@ def coerce_for_checks(raw: DataFrame) -> DataFrame:
     """Raw trips with times and the checked measures typed; the rest stays text."""
     measures = ["FARE_AMOUNT", "TRIP_DISTANCE", "TOTAL_AMOUNT"]
     times = ["TPEP_PICKUP_DATETIME", "TPEP_DROPOFF_DATETIME"]
-    return raw.withColumns(
-        {name: safe_double(F.col(name)) for name in measures}
-        | {name: safe_time(F.col(name)) for name in times}
+    texts = [name for name in raw.columns if name not in (*measures, *times)]
+    typed = parse_columns(
+        raw,
+        measures={name: name for name in measures},
+        times={name: name for name in times},
+        keep={name: name for name in texts},
     )
+    return typed.select(raw.columns)
 
 
 @dataclass(frozen=True)
@@ -129,6 +134,7 @@ def run_month(
     A failing gate logs and leaves the marts alone. The final row is logged
     whatever happens.
     """
+    tune(spark)
     settings = settings or TripSettings()
     tables = TripTables(folder)
     built = False

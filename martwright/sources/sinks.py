@@ -27,15 +27,27 @@ def read_if_exists(
         raise
 
 
+def _file_per_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Bring each partition's rows together before writing, so not every task writes all of them.
+
+    Adaptive execution splits a partition that holds most of the rows and joins
+    the small ones.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in columns])
+
+
 def append_partitioned(df: DataFrame, path: str, by: str = "SOURCE_MONTH") -> None:
-    df.write.mode("append").partitionBy(by).parquet(path)
+    _file_per_partition(df, [by]).write.mode("append").partitionBy(by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str | Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, by: str | Sequence[str], *, rebalance: bool = True
+) -> None:
     """Overwrite only the partitions present in ``df``; safe to run again."""
     columns = [by] if isinstance(by, str) else list(by)
+    rows = _file_per_partition(df, columns) if rebalance else df
     (
-        df.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)
@@ -58,7 +70,8 @@ def load_month(
     loaded = read_if_exists(spark, path)
     if loaded is not None and not loaded.where(F.col(by) == month).isEmpty():
         return False
-    replace_partitions(df.where(F.col(by) == month), path, [by, *then_by])
+    rows = df.where(F.col(by) == month)
+    replace_partitions(rows, path, [by, *then_by], rebalance=bool(then_by))
     return True
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from martwright.operators import (
 from martwright.plans import contracts, indicators, marts, snapshot
 from martwright.plans import trips as trip_job
 from martwright.schemas import RAW_COUNTRY, RAW_SERIES, RAW_TRIPS
-from martwright.session import work_path
+from martwright.session import tune, work_path
 from martwright.sources import documents, files, landing, sinks
 from martwright.streaming.landing import land_new_files
 from workloads import roles
@@ -52,8 +53,13 @@ RAW_ROWS = (1, 1_000_000_000_000)
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def tuned(spark: SparkSession, sf: str) -> DataFrame:
+        tune(spark)
+        return function(spark, sf)
+
+    QUERIES[function.__name__] = tuned
+    return tuned
 
 
 # --- inputs shared by several queries ---
