@@ -49,7 +49,3 @@ def mean(name: str, digits: int = 2) -> Column:
     """Aggregate: mean of the non-null values from the exact sum, rounded."""
     return round_half_up(ratio_of(from_units(F.sum(units(F.col(name)))), F.count(name)), digits)
 
-
-def mean_whole(name: str, digits: int = 1) -> Column:
-    """Aggregate: mean of an integer column, rounded."""
-    return round_half_up(ratio_of(F.sum(name), F.count(name)), digits)

@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 from martwright.functions.labels import payment_label
 from martwright.functions.measures import (
     from_units,
-    mean,
-    mean_whole,
     ratio_of,
     round_half_up,
-    total,
     units,
 )
 from martwright.operators.windows import RATE_SERIES, with_change
@@ -22,103 +19,165 @@ from martwright.operators.windows import RATE_SERIES, with_change
 # Shortest and longest trip, in minutes, that counts for the duration mart.
 DURATION_BAND = (1, 180)
 SNAPSHOT_FIRST_YEAR = 2000
+MINUTES = "trip_duration_minutes"
+SUMMED_AS_IS = (MINUTES, "tip_rate")
+
+
+# Trip marts are built in two steps. Parts are exact counts and sums that can be added
+# up, so a job stores them per delivered month and never reads old trips again; the
+# mart is worked out from the summed parts. Built in one go from trips, both steps
+# group by the same keys and share one shuffle.
+
+
+def _parts(trips: DataFrame, keys: Sequence[str | Column], measures: Sequence[str]) -> DataFrame:
+    """Rows, sums and value counts per group; money and distances are summed exactly."""
+    sums = [
+        F.sum(F.col(name) if name in SUMMED_AS_IS else units(F.col(name))).alias(f"{name}_sum")
+        for name in measures
+    ]
+    counts = [F.count(name).alias(f"{name}_n") for name in measures]
+    return trips.groupBy(*keys).agg(F.count("*").alias("n"), *sums, *counts)
 
 
 def _trips() -> Column:
-    return F.count("*").alias("total_trips")
+    return F.sum("n").alias("total_trips")
+
+
+def _total(measure: str) -> Column:
+    return round_half_up(from_units(F.sum(f"{measure}_sum")), 2)
+
+
+def _mean(measure: str) -> Column:
+    added, values = F.sum(f"{measure}_sum"), F.sum(f"{measure}_n")
+    if measure == MINUTES:
+        return round_half_up(ratio_of(added, values), 1)
+    return round_half_up(ratio_of(from_units(added), values), 2)
+
+
+def daily_revenue_parts(trips: DataFrame, *also: str) -> DataFrame:
+    return _parts(
+        trips.where(F.col("pickup_borough").isNotNull()),
+        [*also, "pickup_date", "pickup_borough"],
+        ["fare_amount", "tip_amount", "total_amount", "trip_distance", MINUTES],
+    )
+
+
+def daily_revenue_of(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("pickup_date", "pickup_borough").agg(
+        _trips(),
+        _total("fare_amount").alias("total_fare_revenue"),
+        _total("tip_amount").alias("total_tips"),
+        _total("total_amount").alias("total_revenue"),
+        _mean("fare_amount").alias("avg_fare"),
+        _mean("tip_amount").alias("avg_tip"),
+        _mean("trip_distance").alias("avg_distance_miles"),
+        _mean(MINUTES).alias("avg_duration_minutes"),
+    )
 
 
 def daily_revenue(trips: DataFrame) -> DataFrame:
     """Trips and money per day and pickup borough."""
-    return (
-        trips.where(F.col("pickup_borough").isNotNull())
-        .groupBy("pickup_date", "pickup_borough")
-        .agg(
-            _trips(),
-            total("fare_amount").alias("total_fare_revenue"),
-            total("tip_amount").alias("total_tips"),
-            total("total_amount").alias("total_revenue"),
-            mean("fare_amount").alias("avg_fare"),
-            mean("tip_amount").alias("avg_tip"),
-            mean("trip_distance").alias("avg_distance_miles"),
-            mean_whole("trip_duration_minutes").alias("avg_duration_minutes"),
-        )
+    return daily_revenue_of(daily_revenue_parts(trips))
+
+
+def pickup_zones_parts(trips: DataFrame, *also: str) -> DataFrame:
+    hour = F.hour("pickup_datetime").alias("hour_of_day")
+    return _parts(
+        trips.where(F.col("pickup_zone").isNotNull() & F.col("pickup_borough").isNotNull()),
+        [*also, "pickup_borough", "pickup_zone", hour],
+        ["fare_amount", "trip_distance", MINUTES],
+    )
+
+
+def pickup_zones_of(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("pickup_borough", "pickup_zone", "hour_of_day").agg(
+        _trips(),
+        _mean("fare_amount").alias("avg_fare"),
+        _mean("trip_distance").alias("avg_distance_miles"),
+        _mean(MINUTES).alias("avg_duration_minutes"),
     )
 
 
 def pickup_zones(trips: DataFrame) -> DataFrame:
     """Activity per pickup zone and hour of day."""
-    return (
-        trips.where(F.col("pickup_zone").isNotNull() & F.col("pickup_borough").isNotNull())
-        .groupBy("pickup_borough", "pickup_zone", F.hour("pickup_datetime").alias("hour_of_day"))
-        .agg(
-            _trips(),
-            mean("fare_amount").alias("avg_fare"),
-            mean("trip_distance").alias("avg_distance_miles"),
-            mean_whole("trip_duration_minutes").alias("avg_duration_minutes"),
-        )
-    )
+    return pickup_zones_of(pickup_zones_parts(trips))
 
 
 def tip_rate() -> Column:
-    """Aggregate: mean of each trip's own tip percentage, trips without a fare left out."""
+    """A trip's tip in percent of its fare, NULL without a fare."""
     fare = F.col("fare_amount")
-    rate = F.when(fare > 0, F.col("tip_amount") / fare * 100)
-    return round_half_up(F.avg(rate), 2)
+    return F.when(fare > 0, F.col("tip_amount") / fare * 100)
 
 
-def payment_summary(trips: DataFrame) -> DataFrame:
-    """Trips, money and tip rate per payment code.
+def mean_tip_rate() -> Column:
+    """Aggregate: mean of the trips' own tip rates, not the rate of the sums."""
+    return round_half_up(F.avg(tip_rate()), 2)
 
-    The label follows from the code, so it is added after the aggregation.
-    """
-    return (
-        trips.groupBy("payment_type")
-        .agg(
-            _trips(),
-            total("total_amount").alias("total_revenue"),
-            mean("fare_amount").alias("avg_fare"),
-            mean("tip_amount").alias("avg_tip"),
-            tip_rate().alias("avg_tip_rate_pct"),
-            mean("trip_distance").alias("avg_distance_miles"),
-            mean_whole("trip_duration_minutes").alias("avg_duration_minutes"),
-        )
-        .withColumn("payment_label", payment_label(F.col("payment_type")))
+
+def payment_summary_parts(trips: DataFrame, *also: str) -> DataFrame:
+    return _parts(
+        trips.withColumn("tip_rate", tip_rate()),
+        [*also, "payment_type"],
+        ["total_amount", "fare_amount", "tip_amount", "tip_rate", "trip_distance", MINUTES],
     )
 
 
-def trip_duration(
-    trips: DataFrame, shortest: int = DURATION_BAND[0], longest: int = DURATION_BAND[1]
+def payment_summary_of(parts: DataFrame) -> DataFrame:
+    """The label follows from the code, so it is added after the aggregation."""
+    summed = parts.groupBy("payment_type").agg(
+        _trips(),
+        _total("total_amount").alias("total_revenue"),
+        _mean("fare_amount").alias("avg_fare"),
+        _mean("tip_amount").alias("avg_tip"),
+        round_half_up(ratio_of(F.sum("tip_rate_sum"), F.sum("tip_rate_n")), 2).alias(
+            "avg_tip_rate_pct"
+        ),
+        _mean("trip_distance").alias("avg_distance_miles"),
+        _mean(MINUTES).alias("avg_duration_minutes"),
+    )
+    return summed.withColumn("payment_label", payment_label(F.col("payment_type")))
+
+
+def payment_summary(trips: DataFrame) -> DataFrame:
+    """Trips, money and tip rate per payment code."""
+    return payment_summary_of(payment_summary_parts(trips))
+
+
+def trip_duration_parts(
+    trips: DataFrame, *also: str, shortest: int = DURATION_BAND[0], longest: int = DURATION_BAND[1]
 ) -> DataFrame:
-    """Duration statistics with the exact median per day and pickup borough.
+    """Trips per whole minute of the band.
 
-    Trips are counted per whole minute first. That leaves at most one row per
-    minute of the band in any group, however many trips a day and borough have,
-    and the median is taken from those counts.
+    That leaves at most one row per minute in any day and borough, however many
+    trips it has, so the exact median never needs them in one task.
     """
-    minutes = F.col("trip_duration_minutes")
-    per_minute = (
-        trips.where(F.col("pickup_borough").isNotNull() & minutes.between(shortest, longest))
-        .groupBy(F.col("pickup_date").alias("trip_date"), "pickup_borough", minutes.alias("minutes"))
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(units(F.col("trip_distance"))).alias("distance"),
-            F.count("trip_distance").alias("n_distance"),
-        )
+    minutes = F.col(MINUTES)
+    return _parts(
+        trips.where(F.col("pickup_borough").isNotNull() & minutes.between(shortest, longest)),
+        [*also, F.col("pickup_date").alias("trip_date"), "pickup_borough", MINUTES],
+        ["trip_distance"],
     )
-    n, spent = F.col("n"), F.col("minutes")
-    return per_minute.groupBy("trip_date", "pickup_borough").agg(
-        F.sum("n").alias("total_trips"),
-        round_half_up(ratio_of(F.sum(spent * n), F.sum("n")), 1).alias("avg_duration_minutes"),
-        round_half_up(F.percentile(spent, 0.5, n), 1).alias("median_duration_minutes"),
-        round_half_up(ratio_of(from_units(F.sum("distance")), F.sum("n_distance")), 2).alias(
-            "avg_distance_miles"
-        ),
-        F.min(spent).alias("min_duration_minutes"),
-        F.max(spent).alias("max_duration_minutes"),
+
+
+def trip_duration_of(parts: DataFrame) -> DataFrame:
+    minutes, n = F.col(MINUTES), F.col("n")
+    return parts.groupBy("trip_date", "pickup_borough").agg(
+        _trips(),
+        round_half_up(ratio_of(F.sum(minutes * n), F.sum("n")), 1).alias("avg_duration_minutes"),
+        round_half_up(F.percentile(minutes, 0.5, n), 1).alias("median_duration_minutes"),
+        _mean("trip_distance").alias("avg_distance_miles"),
+        F.min(minutes).alias("min_duration_minutes"),
+        F.max(minutes).alias("max_duration_minutes"),
     )
 
 
+def trip_duration(
+    trips: DataFrame, shortest: int = DURATION_BAND[0], longest: int = DURATION_BAND[1]
+) -> DataFrame:
+    """Duration statistics with the exact median per day and pickup borough."""
+    return trip_duration_of(trip_duration_parts(trips, shortest=shortest, longest=longest))
+
+
 def indicator_change(
     series: DataFrame, rate_series: Sequence[str] = tuple(RATE_SERIES)
 ) -> DataFrame:

@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martwright.functions.calendar import month_start
 from martwright.functions.casts import parse_columns
 from martwright.operators.incremental import merge_into, recompute_touched
-from martwright.operators.joins import hold, with_zones
+from martwright.operators.joins import with_zones
 from martwright.operators.quality import Check, run_suite, suite_passed
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import marts
 from martwright.schemas import STAGED_TRIPS
 from martwright.session import tune
-from martwright.sources.sinks import load_month, log_run, overwrite
+from martwright.sources.sinks import load_month, log_run, overwrite, replace_partitions
 
 
 def coerce_for_checks(raw: DataFrame) -> DataFrame:
@@ -58,10 +58,6 @@ class TripTables:
         return f"{self.folder}/{name}"
 
 
-# Layout of the stored staged trips: partitioned by file month, then pickup month.
-STORED_TRIPS = T.StructType([*STAGED_TRIPS, T.StructField("pickup_month", T.DateType())])
-
-
 def staged_trips(raw: DataFrame, settings: TripSettings) -> DataFrame:
     return valid_trips(cast_trips(raw), settings.first_day, settings.end_day)
 
@@ -74,49 +70,63 @@ def land_month(raw: DataFrame, tables: TripTables, month: str, settings: TripSet
     landed = load_month(raw, tables.raw_trips, month)
     stored = raw.sparkSession.read.schema(raw.schema).parquet(tables.raw_trips)
     staged = staged_trips(stored.where(F.col("SOURCE_MONTH") == month), settings)
-    load_month(
-        staged.withColumn("pickup_month", month_start(F.col("pickup_date"))),
-        tables.staged_trips,
-        month,
-        by="source_month",
-        then_by=["pickup_month"],
-    )
+    load_month(staged, tables.staged_trips, month, by="source_month")
     return landed
 
 
+@dataclass(frozen=True)
+class Rollup:
+    """A mart kept from stored parts; ``day`` names the date column of a dated mart."""
+
+    mart: str
+    parts: Callable[..., DataFrame]
+    finish: Callable[[DataFrame], DataFrame]
+    day: str | None = None
+
+
+def rollups(settings: TripSettings) -> list[Rollup]:
+    durations = partial(
+        marts.trip_duration_parts, shortest=settings.shortest, longest=settings.longest
+    )
+    return [
+        Rollup(
+            "mart_daily_revenue", marts.daily_revenue_parts, marts.daily_revenue_of, "pickup_date"
+        ),
+        Rollup("mart_trip_duration", durations, marts.trip_duration_of, "trip_date"),
+        Rollup("mart_pickup_zones", marts.pickup_zones_parts, marts.pickup_zones_of),
+        Rollup("mart_payment_summary", marts.payment_summary_parts, marts.payment_summary_of),
+    ]
+
+
 def build_marts(
-    spark: SparkSession,
-    tables: TripTables,
-    zones: DataFrame,
-    month: str,
-    settings: TripSettings,
+    spark: SparkSession, tables: TripTables, zones: DataFrame, month: str, settings: TripSettings
 ) -> None:
-    """Merge the dated marts for the days the month's file touches, rebuild the others."""
-    staged = spark.read.schema(STORED_TRIPS).parquet(tables.staged_trips)
-    joined = with_zones(staged, zones, ["pickup"])
-    arrived = joined.where(F.col("source_month") == month)
-    touched = hold(arrived.select("pickup_month", "pickup_date", "pickup_borough").distinct())
-
-    def duration(trips: DataFrame) -> DataFrame:
-        return marts.trip_duration(trips, settings.shortest, settings.longest)
-
-    dated = {
-        "mart_daily_revenue": (marts.daily_revenue, "pickup_date"),
-        "mart_trip_duration": (duration, "trip_date"),
-    }
-    for name, (build, day) in dated.items():
-        fresh = recompute_touched(
-            touched, joined, ["pickup_date", "pickup_borough"], build, partition="pickup_month"
-        )
+    """Read only the month's trips, store their parts, and bring the marts up to date.
+
+    The parts of a delivered month replace themselves, so a repeated run counts
+    nothing twice. A dated mart gets the rows of the days the delivery touches,
+    late and stray ones included; the others are rebuilt from the small parts.
+    """
+    staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
+    arrived = with_zones(staged.where(F.col("source_month") == month), zones, ["pickup"])
+    for rollup in rollups(settings):
+        path = f"{tables.folder}/parts/{rollup.mart}"
+        fresh = rollup.parts(arrived, "source_month")
+        replace_partitions(fresh, path, "source_month")
+        stored = spark.read.schema(fresh.schema).parquet(path)
+        if rollup.day is None:
+            overwrite(rollup.finish(stored), getattr(tables, rollup.mart))
+            continue
+        keys = [rollup.day, "pickup_borough"]
+        touched = stored.where(F.col("source_month") == month).select(*keys).distinct()
+        changed = recompute_touched(touched, stored, keys, rollup.finish)
         merge_into(
-            fresh.withColumn("mart_month", month_start(F.col(day))),
-            getattr(tables, name),
-            [day, "pickup_borough"],
+            changed.withColumn("mart_month", month_start(F.col(rollup.day))),
+            getattr(tables, rollup.mart),
+            keys,
             "mart_month",
-            f"{tables.folder}/merging/{name}",
+            f"{tables.folder}/merging/{rollup.mart}",
         )
-    overwrite(marts.pickup_zones(joined), tables.mart_pickup_zones)
-    overwrite(marts.payment_summary(staged), tables.mart_payment_summary)
 
 
 def run_month(

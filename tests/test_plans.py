@@ -1,16 +1,16 @@
 """What the physical plans must look like."""
 
 import re
-from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from martwright.operators import joins, quality, windows
-from martwright.operators.staging import cast_trips, with_trip_times
+from martwright.operators.staging import cast_trips
 from martwright.plans import contracts, marts
-from martwright.plans.trips import STORED_TRIPS, coerce_for_checks
+from martwright.plans.trips import coerce_for_checks
+from martwright.schemas import STAGED_TRIPS
 from martwright.sources.files import in_month, read_facts
 from tests.test_staging import raw_trips
 from workloads import roles
@@ -61,14 +61,12 @@ def test_month_filter_reaches_the_scan(spark):
 
 
 def test_stored_trips_prune_partitions_and_push_filters(spark, tmp_path):
-    trips = with_trip_times(cast_trips(raw_trips(spark, {}))).withColumn(
-        "pickup_month", F.trunc("pickup_date", "MM")
-    )
-    trips.write.partitionBy("source_month", "pickup_month").parquet(str(tmp_path / "t"))
-    stored = spark.read.schema(STORED_TRIPS).parquet(str(tmp_path / "t"))
-    chosen = stored.where(F.col("pickup_month").isin(date(2025, 11, 1)) & (F.col("fare_amount") > 5))
+    trips = cast_trips(raw_trips(spark, {}))
+    trips.write.partitionBy("source_month").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema(STAGED_TRIPS).parquet(str(tmp_path / "t"))
+    chosen = stored.where((F.col("source_month") == "2025-11") & (F.col("fare_amount") > 5))
     text = plan(chosen.select("extra"))
-    assert re.search(r"PartitionFilters: \[.*pickup_month", text)
+    assert re.search(r"PartitionFilters: \[.*source_month", text)
     assert "GreaterThan(fare_amount,5.0)" in text
 
 

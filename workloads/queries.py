@@ -448,7 +448,7 @@ def mart_payment_summary(spark, sf):
 @query
 def avg_tip_rate(spark, sf):
     trips = roles.event_trips(spark, sf)
-    return trips.groupBy("payment_type").agg(marts.tip_rate().alias("avg_tip_rate_pct"))
+    return trips.groupBy("payment_type").agg(marts.mean_tip_rate().alias("avg_tip_rate_pct"))
 
 
 @query
