@@ -71,8 +71,19 @@ def read_zones_csv(spark: SparkSession, path: str, schema: T.StructType = ZONES_
 def sample_month(
     df: DataFrame, month: str, rows: int, *, month_column: str = "SOURCE_MONTH", seed: int = 0
 ) -> DataFrame:
-    """``rows`` random rows of one month: filter first, then top-k by a random key."""
-    return df.where(F.col(month_column) == month).orderBy(F.rand(seed)).limit(rows)
+    """``rows`` random rows of one month, or all of them if there are fewer.
+
+    The rows with the smallest random numbers are taken. Numbers far too large
+    to be among them are dropped first, so the final ordering sees little more
+    than the sample however long the month is.
+    """
+    in_month_rows = df.where(F.col(month_column) == month)
+    available = in_month_rows.count()
+    if available <= rows:
+        return in_month_rows
+    enough = min(1.0, (rows + 10 * rows**0.5 + 100) / available)
+    drawn = in_month_rows.withColumn("_draw", F.rand(seed))
+    return drawn.where(F.col("_draw") <= enough).orderBy("_draw").limit(rows).drop("_draw")
 
 
 def union_tagged(frames: dict[str, DataFrame], tag: str = "indicator_name") -> DataFrame:

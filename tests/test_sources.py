@@ -79,6 +79,19 @@ def test_stringify(spark):
     assert raw.collect() == [("1.0", None, None, "2025-11"), ("2.5", "3.0", None, "2025-11")]
 
 
+@pytest.mark.parametrize("wanted, expected", [(50, 50), (999, 999), (1000, 1000), (5000, 1000)])
+def test_sample_size_and_month(spark, wanted, expected):
+    df = months(spark, m2025_11=1000, m2025_12=300)
+    sample = files.sample_month(df, "m2025-11", wanted, seed=3)
+    assert sample.count() == expected == sample.select("id").distinct().count()
+    assert {r[0] for r in sample.select("SOURCE_MONTH").distinct().collect()} == {"m2025-11"}
+
+
+def test_sample_is_spread_over_the_month(spark):
+    ids = [r.id for r in files.sample_month(months(spark, m2025_11=10_000), "m2025-11", 400).collect()]
+    assert 4000 < sum(ids) / len(ids) < 6000
+
+
 def test_month_bounds():
     assert files.month_bounds("2025-12") == (date(2025, 12, 1), date(2026, 1, 1))
 
