@@ -116,18 +116,20 @@ def merge_into(
     repeated = repeated_keys(changes, keys).first()
     if repeated is not None:
         raise ValueError(f"key occurs more than once in the batch: {repeated.asDict()}")
-    finish_merge(spark, path, partition, staging)
+    finish_merge(spark, path, keys, partition, staging)
     target = read_if_exists(spark, path)
     if target is None:
-        replace_partitions(changes, path, partition)
+        replace_partitions(changes, path, partition, sort_by=keys)
         return
     full_refresh(upsert(only_partitions_of(target, changes, partition), changes, keys), staging)
-    finish_merge(spark, path, partition, staging)
+    finish_merge(spark, path, keys, partition, staging)
 
 
-def finish_merge(spark: SparkSession, path: str, partition: str, staging: str) -> None:
+def finish_merge(
+    spark: SparkSession, path: str, keys: Sequence[str], partition: str, staging: str
+) -> None:
     """Move fully staged partitions into the table unless that has been done."""
     staged = latest_version(spark, staging)
     if staged > latest_version(spark, staging, APPLIED):
-        replace_partitions(read_refreshed(spark, staging), path, partition)
+        replace_partitions(read_refreshed(spark, staging), path, partition, sort_by=keys)
         add_version(spark, staging, staged, APPLIED)

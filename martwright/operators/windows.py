@@ -26,28 +26,26 @@ def previous_value(
     ``span`` cuts the order into stretches of calendar time, so a series that
     holds most of the rows is still spread over many tasks. The first row of a
     stretch takes the last value of the nearest earlier stretch, found among one
-    row per series and stretch.
+    row per series and stretch. Series and stretch are packed in a struct, in which
+    NULL equals NULL, so the rows are joined as the window left them.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    spanned = df.withColumn("_span", span)
-    inside = Window.partitionBy(key, "_span").orderBy(*order)
-    lagged = spanned.withColumns(
+    grouped = df.withColumn("_stretch", F.struct(F.col(key).alias("key"), span.alias("span")))
+    inside = Window.partitionBy("_stretch").orderBy(*order)
+    lagged = grouped.withColumns(
         {"_inside": F.lag(value).over(inside), "_place": F.row_number().over(inside)}
     )
 
     ordering = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last = spanned.groupBy(F.col(key).alias("_key"), F.col("_span").alias("_from")).agg(
-        F.max_by(value, ordering).alias("_last")
-    )
-    carried = last.withColumn(
-        "_carried", F.lag("_last").over(Window.partitionBy("_key").orderBy("_from"))
-    ).drop("_last")
+    last = grouped.groupBy("_stretch").agg(F.max_by(value, ordering).alias("_last"))
+    along = Window.partitionBy("_stretch.key").orderBy("_stretch.span")
+    carried = last.select("_stretch", F.lag("_last").over(along).alias("_carried"))
 
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_span").eqNullSafe(F.col("_from"))
+    first_in_stretch = F.col("_place") == 1
     return (
-        lagged.join(carried, same, "left")
-        .withColumn(name, F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col("_inside")))
-        .drop("_span", "_inside", "_place", "_key", "_from", "_carried")
+        lagged.join(carried, "_stretch", "left")
+        .withColumn(name, F.when(first_in_stretch, F.col("_carried")).otherwise(F.col("_inside")))
+        .drop("_stretch", "_inside", "_place", "_carried")
     )
 
 

@@ -15,7 +15,7 @@ from martwright.plans.marts import indicator_change, stamped
 from martwright.schemas import RAW_SERIES
 from martwright.sources.documents import read_series
 from martwright.sources.landing import typed_raw
-from martwright.sources.sinks import full_refresh, overwrite, read_refreshed
+from martwright.sources.sinks import full_refresh, read_refreshed
 
 
 def refresh(
@@ -29,8 +29,8 @@ def refresh(
     full_refresh(typed_raw(read_series(spark, landing, names), RAW_SERIES), f"{folder}/raw_series")
     staged = stage_series(read_refreshed(spark, f"{folder}/raw_series"))
     mart = f"{folder}/mart_economic_indicators"
-    overwrite(stamped(indicator_change(staged, rate_series)), mart)
-    return spark.read.parquet(mart)
+    full_refresh(stamped(indicator_change(staged, rate_series)), mart)
+    return read_refreshed(spark, mart)
 
 
 def headline(

@@ -23,7 +23,7 @@ from martwright.plans.marts import SNAPSHOT_FIRST_YEAR, country_snapshot, stampe
 from martwright.schemas import RAW_COUNTRY, RAW_SERIES_NAMED
 from martwright.sources.documents import read_country_indicators, read_series_strict
 from martwright.sources.landing import typed_raw
-from martwright.sources.sinks import full_refresh, latest_version, overwrite, read_refreshed
+from martwright.sources.sinks import full_refresh, latest_version, read_refreshed
 
 # Where loading starts for a series or country not seen before.
 FIRST_DATE = date(2000, 1, 1)
@@ -101,5 +101,5 @@ def refresh(
         us_columns,
     )
     mart = f"{folder}/mart_global_economic_snapshot"
-    overwrite(stamped(country_snapshot(joined, first_year)), mart)
-    return spark.read.parquet(mart)
+    full_refresh(stamped(country_snapshot(joined, first_year)), mart)
+    return read_refreshed(spark, mart)

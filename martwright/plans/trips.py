@@ -19,7 +19,13 @@ from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, v
 from martwright.plans import marts
 from martwright.schemas import STAGED_TRIPS
 from martwright.session import tune
-from martwright.sources.sinks import load_month, log_run, overwrite, replace_partitions
+from martwright.sources.sinks import (
+    full_refresh,
+    load_month,
+    log_run,
+    read_refreshed,
+    replace_partitions,
+)
 
 
 def coerce_for_checks(raw: DataFrame) -> DataFrame:
@@ -62,16 +68,9 @@ def staged_trips(raw: DataFrame, settings: TripSettings) -> DataFrame:
     return valid_trips(cast_trips(raw), settings.first_day, settings.end_day)
 
 
-def land_month(raw: DataFrame, tables: TripTables, month: str, settings: TripSettings) -> bool:
-    """Write a month to the text table and, typed and filtered, beside it.
-
-    Marts read the typed copy: filters on text columns cannot skip row groups.
-    """
-    landed = load_month(raw, tables.raw_trips, month)
-    stored = raw.sparkSession.read.schema(raw.schema).parquet(tables.raw_trips)
-    staged = staged_trips(stored.where(F.col("SOURCE_MONTH") == month), settings)
-    load_month(staged, tables.staged_trips, month, by="source_month")
-    return landed
+def stage_month(landed: DataFrame, tables: TripTables, month: str, settings: TripSettings) -> None:
+    """Store a landed month typed and filtered: filters on text cannot skip row groups."""
+    load_month(staged_trips(landed, settings), tables.staged_trips, month, by="source_month")
 
 
 @dataclass(frozen=True)
@@ -115,7 +114,7 @@ def build_marts(
         replace_partitions(fresh, path, "source_month")
         stored = spark.read.schema(fresh.schema).parquet(path)
         if rollup.day is None:
-            overwrite(rollup.finish(stored), getattr(tables, rollup.mart))
+            full_refresh(rollup.finish(stored), getattr(tables, rollup.mart))
             continue
         keys = [rollup.day, "pickup_borough"]
         touched = stored.where(F.col("source_month") == month).select(*keys).distinct()
@@ -141,20 +140,21 @@ def run_month(
 ) -> bool:
     """One monthly run; True when the gate passed and the marts were built.
 
-    A failing gate logs and leaves the marts alone. The final row is logged
-    whatever happens.
+    A failing gate logs and leaves the marts alone; later months do not bring the
+    failed one in. The final row is logged whatever happens.
     """
     tune(spark)
     settings = settings or TripSettings()
     tables = TripTables(folder)
     built = False
     try:
-        land_month(raw, tables, month, settings)
-        overwrite(raw_zones, tables.raw_zones)
-        zones = stage_zones(spark.read.parquet(tables.raw_zones))
-        landed = spark.read.schema(raw.schema).parquet(tables.raw_trips)
-        this_month = landed.where(F.col("SOURCE_MONTH") == month)
-        if suite_passed(run_suite(coerce_for_checks(this_month), checks)):
+        load_month(raw, tables.raw_trips, month)
+        full_refresh(raw_zones, tables.raw_zones)
+        zones = stage_zones(read_refreshed(spark, tables.raw_zones))
+        stored = spark.read.schema(raw.schema).parquet(tables.raw_trips)
+        landed = stored.where(F.col("SOURCE_MONTH") == month)
+        if suite_passed(run_suite(coerce_for_checks(landed), checks)):
+            stage_month(landed, tables, month, settings)
             build_marts(spark, tables, zones, month, settings)
             built = True
         else:

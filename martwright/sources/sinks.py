@@ -41,11 +41,21 @@ def append_partitioned(df: DataFrame, path: str, by: str = "SOURCE_MONTH") -> No
 
 
 def replace_partitions(
-    df: DataFrame, path: str, by: str | Sequence[str], *, rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    by: str | Sequence[str],
+    *,
+    sort_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> None:
-    """Overwrite only the partitions present in ``df``; safe to run again."""
+    """Overwrite only the partitions present in ``df``; safe to run again.
+
+    ``sort_by`` orders the rows of each file, which readers can skip by.
+    """
     columns = [by] if isinstance(by, str) else list(by)
     rows = _file_per_partition(df, columns) if rebalance else df
+    if sort_by:
+        rows = rows.sortWithinPartitions(*columns, *sort_by)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

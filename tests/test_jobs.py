@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from martwright.operators import quality
 from martwright.plans import contracts, indicators, trips
+from martwright.sources.sinks import read_refreshed
 from tests.test_sources import write
 from tests.test_staging import raw_trips
 
@@ -53,9 +54,9 @@ def test_late_and_stray_rows_end_up_right_and_reruns_change_nothing(spark, tmp_p
     for run_id in ("r2", "r3"):
         assert run(spark, folder, second, "2025-12", run_id)
         assert revenue(spark, folder) == expected
-    payments = spark.read.parquet(f"{folder}/mart_payment_summary").first()
+    payments = read_refreshed(spark, f"{folder}/mart_payment_summary").first()
     assert (payments.total_trips, payments.total_revenue) == (5, 20.5)
-    zones = spark.read.parquet(f"{folder}/mart_pickup_zones").first()
+    zones = read_refreshed(spark, f"{folder}/mart_pickup_zones").first()
     assert (zones.pickup_zone, zones.hour_of_day, zones.total_trips) == ("Newark", 10, 5)
     durations = spark.read.parquet(f"{folder}/mart_trip_duration").collect()
     assert {r.median_duration_minutes for r in durations} == {10.0}
