@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from martwright.operators.joins import hold, lookup_join
 
 BANDS = 64
+EDGE_ROWS = 10_000
 
 
 def value_counts_of(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -43,7 +44,7 @@ def quantiles_of_counts(
     its total ``n_rows`` and its ``edges``. ``probabilities`` names the outputs.
     """
     edges = groups.select(key, "n_rows", "edges")
-    banded = lookup_join(counts, edges, key, "inner", held=True).select(
+    banded = lookup_join(counts, edges, key, "inner", held=True, max_rows=EDGE_ROWS).select(
         key,
         "value",
         "n",

@@ -75,12 +75,17 @@ def stage_month(landed: DataFrame, tables: TripTables, month: str, settings: Tri
 
 @dataclass(frozen=True)
 class Rollup:
-    """A mart kept from stored parts; ``day`` names the date column of a dated mart."""
+    """A mart kept from stored parts.
+
+    ``day`` names the date column of a dated mart; ``zoned`` says whether the
+    parts need the pickup zone, since Spark keeps a join nobody reads.
+    """
 
     mart: str
     parts: Callable[..., DataFrame]
     finish: Callable[[DataFrame], DataFrame]
     day: str | None = None
+    zoned: bool = True
 
 
 def rollups(settings: TripSettings) -> list[Rollup]:
@@ -93,7 +98,12 @@ def rollups(settings: TripSettings) -> list[Rollup]:
         ),
         Rollup("mart_trip_duration", durations, marts.trip_duration_of, "trip_date"),
         Rollup("mart_pickup_zones", marts.pickup_zones_parts, marts.pickup_zones_of),
-        Rollup("mart_payment_summary", marts.payment_summary_parts, marts.payment_summary_of),
+        Rollup(
+            "mart_payment_summary",
+            marts.payment_summary_parts,
+            marts.payment_summary_of,
+            zoned=False,
+        ),
     ]
 
 
@@ -107,10 +117,11 @@ def build_marts(
     late and stray ones included; the others are rebuilt from the small parts.
     """
     staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
-    arrived = with_zones(staged.where(F.col("source_month") == month), zones, ["pickup"])
+    arrived = staged.where(F.col("source_month") == month)
+    zoned = with_zones(arrived, zones, ["pickup"])
     for rollup in rollups(settings):
         path = f"{tables.folder}/parts/{rollup.mart}"
-        fresh = rollup.parts(arrived, "source_month")
+        fresh = rollup.parts(zoned if rollup.zoned else arrived, "source_month")
         replace_partitions(fresh, path, "source_month")
         stored = spark.read.schema(fresh.schema).parquet(path)
         if rollup.day is None:

@@ -108,6 +108,8 @@ RUN_LOG = layout(
     "run_id string, month_processed string, status string, task_name string, message string"
 )
 
+VERSIONS = layout("version integer")
+
 SERIES_DOCUMENT = "observations array<struct<date: string, value: string>>, series_id string"
 COUNTRY_ROWS = (
     "array<struct<countryiso3code: string, country: struct<id: string, value: string>,"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.schemas import RUN_LOG
+from martwright.schemas import RUN_LOG, VERSIONS
 
 KEPT_VERSIONS = 4
 
@@ -87,7 +87,7 @@ def load_month(
 
 def latest_version(spark: SparkSession, path: str, list_name: str = "versions") -> int:
     """Newest entry of a version list below ``path``; 0 before the first."""
-    versions = read_if_exists(spark, f"{path}/{list_name}")
+    versions = read_if_exists(spark, f"{path}/{list_name}", VERSIONS)
     return (versions.agg(F.max("version")).first()[0] or 0) if versions is not None else 0
 
 
