@@ -7,15 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.session import shared_folder
-
-BROADCAST_ROWS = 100_000
+from martwright.session import work_path
 
 
 def hold(df: DataFrame) -> DataFrame:
-    """Checkpoint a result that is used more than once; survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write a result that is used more than once to the shared folder and read it back.
+
+    It survives lost executors, is read column by column, and from then on Spark
+    knows its size.
+    """
+    path = work_path(df.sparkSession, "held")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def lookup_join(
@@ -24,20 +27,18 @@ def lookup_join(
     on: str | Sequence[str],
     how: str,
     *,
-    max_rows: int = BROADCAST_ROWS,
     held: bool = False,
 ) -> DataFrame:
     """Join facts to a table derived from other data, without shuffling the facts if it is small.
 
-    Spark can only guess the size of an aggregate, so the lookup is checkpointed
-    and counted. Up to ``max_rows`` narrow rows it is broadcast; beyond that it is
-    an ordinary shuffled join, where adaptive execution splits the hot keys.
-    Pass ``held`` when the lookup is a stored or checkpointed table already.
+    Spark only guesses the size of an aggregate, and guesses high, so it would
+    shuffle the facts. Held, the lookup has a known size: below the session's
+    broadcast threshold it is broadcast; above it this is an ordinary shuffled
+    join, where adaptive execution splits the hot keys. Pass ``held`` when the
+    lookup is a stored table already.
     """
-    lookup = lookup if held else hold(lookup)
-    small = lookup.limit(max_rows + 1).count() <= max_rows
     keys = [on] if isinstance(on, str) else list(on)
-    return facts.join(F.broadcast(lookup) if small else lookup, keys, how)
+    return facts.join(lookup if held else hold(lookup), keys, how)
 
 
 def _zone_columns(zones: DataFrame, side: str) -> DataFrame:

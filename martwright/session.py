@@ -40,7 +40,7 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, also used for checkpoints.
+    """Folder that every executor can reach, for tables that outlive an executor.
 
     The cluster names it in ``spark.checkpoint.dir``. A machine-local folder is
     made only where that is unset and the session itself is local.
