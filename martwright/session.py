@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
@@ -18,11 +19,10 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(app_name: str = "martwright", **conf: str) -> SparkSession:
-    """A session with the defaults above; keyword ``conf`` uses ``__`` for dots."""
+def build_session(app_name: str, conf: Mapping[str, str]) -> SparkSession:
+    """A session with the defaults above and ``conf`` on top."""
     builder = SparkSession.builder.appName(app_name)
-    settings = SESSION_DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in settings.items():
+    for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

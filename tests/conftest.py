@@ -3,27 +3,26 @@ import sys
 import tempfile
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from martwright.session import SESSION_DEFAULTS  # noqa: E402
+from martwright.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    builder = (
-        SparkSession.builder.master("local[8]")
-        .appName("tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.maxMetadataStringLength", "2000")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+    session = build_session(
+        "tests",
+        {
+            "spark.master": "local[8]",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "2000",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
+        },
     )
-    for key, value in SESSION_DEFAULTS.items():
-        builder = builder.config(key, value)
-    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

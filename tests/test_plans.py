@@ -11,7 +11,7 @@ from martwright.operators.staging import cast_trips
 from martwright.plans import contracts, marts
 from martwright.plans.trips import coerce_for_checks
 from martwright.schemas import STAGED_TRIPS
-from martwright.sources.files import in_month, read_facts
+from martwright.sources.files import read_facts
 from tests.test_staging import raw_trips
 from workloads import roles
 
