@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,6 +187,17 @@ def run_contract(df: DataFrame, contract: Contract, parents: dict[str, DataFrame
     return report
 
 
+def run_contracts(
+    models: dict[str, tuple[DataFrame, Contract]], parents: dict[str, DataFrame]
+) -> DataFrame:
+    """The contract reports of several models, with the model's name."""
+    reports = [
+        run_contract(df, contract, parents).select(F.lit(name).alias("model"), "*")
+        for name, (df, contract) in models.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def out_of_order(trips: DataFrame) -> DataFrame:
     """Trips that do not end after they start."""
     return trips.where(F.col("pickup_datetime") >= F.col("dropoff_datetime"))

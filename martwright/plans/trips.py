@@ -14,15 +14,23 @@ from martwright.functions.calendar import month_start
 from martwright.functions.casts import parse_columns
 from martwright.operators.incremental import merge_into, recompute_touched
 from martwright.operators.joins import with_zones
-from martwright.operators.quality import Check, run_suite, suite_passed
+from martwright.operators.quality import (
+    Check,
+    Contract,
+    run_contract,
+    run_contracts,
+    run_suite,
+    suite_passed,
+)
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
-from martwright.plans import marts
+from martwright.plans import contracts, marts
 from martwright.schemas import STAGED_TRIPS
 from martwright.session import tune
 from martwright.sources.sinks import (
     full_refresh,
     load_month,
     log_run,
+    read_if_exists,
     read_refreshed,
     replace_partitions,
 )
@@ -139,6 +147,29 @@ def build_marts(
         )
 
 
+def mart_report(spark: SparkSession, tables: TripTables) -> DataFrame:
+    """The contract checks of the marts; a dated mart without any day has no table yet."""
+    models = {
+        "mart_pickup_zones": (
+            read_refreshed(spark, tables.mart_pickup_zones),
+            contracts.PICKUP_ZONES,
+        ),
+        "mart_payment_summary": (
+            read_refreshed(spark, tables.mart_payment_summary),
+            contracts.PAYMENT_SUMMARY,
+        ),
+    }
+    dated = {
+        "mart_daily_revenue": contracts.DAILY_REVENUE,
+        "mart_trip_duration": contracts.TRIP_DURATION,
+    }
+    for name, contract in dated.items():
+        mart = read_if_exists(spark, getattr(tables, name))
+        if mart is not None:
+            models[name] = (mart, contract)
+    return run_contracts(models, {})
+
+
 def run_month(
     spark: SparkSession,
     raw: DataFrame,
@@ -148,45 +179,47 @@ def run_month(
     run_id: str,
     checks: Sequence[Check],
     settings: TripSettings | None = None,
+    contract: Contract | None = None,
 ) -> bool:
-    """One monthly run; True when the gate passed and the marts were built.
+    """One monthly run; True when every gate passed and the marts were built.
 
-    A failing gate logs and leaves the marts alone; later months do not bring the
-    failed one in. The final row is logged whatever happens.
+    ``checks`` guard the landed month and ``contract`` the staged one. A failing
+    gate logs and leaves the marts alone; later months do not bring the failed one
+    in. Marts that break their own contract are logged too. The final row is
+    logged whatever happens.
     """
     tune(spark)
     settings = settings or TripSettings()
     tables = TripTables(folder)
+    log = partial(log_run, spark, tables.run_log, run_id=run_id, month=month)
     built = False
+
+    def passes(report: DataFrame, task: str, consequence: str) -> bool:
+        passed = suite_passed(report)
+        if not passed:
+            message = f"{task} failed for {month}; {consequence}."
+            log(status="FAILED", task=task, message=message)
+        return passed
+
     try:
         load_month(raw, tables.raw_trips, month)
         full_refresh(raw_zones, tables.raw_zones)
         zones = stage_zones(read_refreshed(spark, tables.raw_zones))
         stored = spark.read.schema(raw.schema).parquet(tables.raw_trips)
         landed = stored.where(F.col("SOURCE_MONTH") == month)
-        if suite_passed(run_suite(coerce_for_checks(landed), checks)):
-            stage_month(landed, tables, month, settings)
-            build_marts(spark, tables, zones, month, settings)
-            built = True
-        else:
-            log_run(
-                spark,
-                tables.run_log,
-                run_id=run_id,
-                month=month,
-                status="FAILED",
-                task="quality_gate",
-                message=f"Quality gate failed for {month}; marts not built.",
-            )
+        gate = run_suite(coerce_for_checks(landed), checks)
+        if not passes(gate, "quality_gate", "marts not built"):
+            return False
+        stage_month(landed, tables, month, settings)
+        if contract is not None:
+            staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
+            this_month = staged.where(F.col("source_month") == month)
+            report = run_contract(this_month, contract, {"zones": zones})
+            if not passes(report, "staged_contract", "marts not built"):
+                return False
+        build_marts(spark, tables, zones, month, settings)
+        built = passes(mart_report(spark, tables), "mart_contracts", "marts need a look")
     finally:
         status = "SUCCESS" if built else "FAILED"
-        log_run(
-            spark,
-            tables.run_log,
-            run_id=run_id,
-            month=month,
-            status=status,
-            task="run_complete",
-            message=f"Run complete for {month}: {status}",
-        )
+        log(status=status, task="run_complete", message=f"Run complete for {month}: {status}")
     return built

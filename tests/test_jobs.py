@@ -76,6 +76,26 @@ def test_failing_gate_logs_and_leaves_the_marts(spark, tmp_path):
     ]
 
 
+def test_staged_contract_guards_the_marts(spark, tmp_path):
+    folder = str(tmp_path)
+    zones = spark.createDataFrame([("1.0", "EWR", "Newark", "EWR")], ZONES)
+    contract = contracts.staged_trips_contract()
+
+    def run_checked(month, run_id, **cells):
+        raw = raw_trips(spark, {"SOURCE_MONTH": month, **cells})
+        return trips.run_month(
+            spark, raw, zones, folder, month, run_id, CHECKS, contract=contract
+        )
+
+    assert run_checked("2025-11", "r1")
+    assert not run_checked("2025-12", "r2", PULOCATIONID="77.0")
+    assert sum(trip_count for _, trip_count, _ in revenue(spark, folder)) == 1
+    assert log(spark, folder)[1:] == [
+        ("r2", "run_complete", "FAILED"),
+        ("r2", "staged_contract", "FAILED"),
+    ]
+
+
 def test_final_status_is_logged_when_the_run_breaks(spark, tmp_path):
     folder = str(tmp_path)
     raw = delivery(spark, "2025-11", ("2025-11-05", "10.0"))

@@ -767,6 +767,37 @@ O["dq_contract"] = sql(
     "valid",
     "known",
 )
+MART_CHECKS = [
+    *[
+        (mart, cte, "not_null", c, f"{c} IS NULL")
+        for mart, cte, columns in (
+            ("daily_revenue", "revenue", "pickup_date pickup_borough total_trips total_revenue"),
+            ("pickup_zones", "zone_hours", "pickup_borough pickup_zone hour_of_day total_trips"),
+            ("payment_summary", "payments", "payment_type payment_label total_trips"),
+            ("trip_duration", "durations", "trip_date pickup_borough total_trips"),
+        )
+        for c in columns.split()
+    ],
+    ("pickup_zones", "zone_hours", "in_set", "hour_of_day", "hour_of_day NOT BETWEEN 0 AND 23"),
+    (
+        "payment_summary",
+        "payments",
+        "unique",
+        "payment_type",
+        "payment_type IN (SELECT payment_type FROM payments GROUP BY 1 HAVING count(*) > 1)",
+    ),
+]
+O["dq_mart_contracts"] = sql(
+    " UNION ALL ".join(
+        f"""SELECT 'mart_{mart}' AS model, '{kind}' AS check_kind, '{column}' AS column_name,
+            count(*) AS n_failing, count(*) = 0 AS passed FROM {cte} WHERE {bad}"""
+        for mart, cte, kind, column, bad in MART_CHECKS
+    ),
+    "revenue",
+    "zone_hours",
+    "payments",
+    "durations",
+)
 O["dq_freshness"] = """SELECT newest, CAST(age AS INTEGER) AS age_days,
     CASE WHEN age > 60 THEN 'error' WHEN age > 45 THEN 'warn' ELSE 'pass' END AS status
     FROM (SELECT max(ts) AS newest,
@@ -795,7 +826,7 @@ O["gated_publish"] = sql(
 O["run_log"] = """
     SELECT * FROM (VALUES
       ('run-0', '1998-06', 'FAILED', 'quality_gate',
-       'Quality gate failed for 1998-06; marts not built.'),
+       'quality_gate failed for 1998-06; marts not built.'),
       ('run-0', '1998-06', 'FAILED', 'run_complete', 'Run complete for 1998-06: FAILED'),
       ('run-1', '1998-06', 'SUCCESS', 'run_complete', 'Run complete for 1998-06: SUCCESS')
     ) AS log(run_id, month_processed, status, task_name, message)"""

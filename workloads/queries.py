@@ -739,6 +739,17 @@ def dq_contract(spark, sf):
     )
 
 
+@query
+def dq_mart_contracts(spark, sf):
+    models = {
+        "mart_daily_revenue": (mart_daily_revenue(spark, sf), contracts.DAILY_REVENUE),
+        "mart_pickup_zones": (mart_pickup_zones(spark, sf), contracts.PICKUP_ZONES),
+        "mart_payment_summary": (mart_payment_summary(spark, sf), contracts.PAYMENT_SUMMARY),
+        "mart_trip_duration": (mart_trip_duration(spark, sf), contracts.TRIP_DURATION),
+    }
+    return quality.run_contracts(models, {})
+
+
 @query
 def dq_freshness(spark, sf):
     return quality.freshness(roles.raw_series(spark, sf), AS_OF).withColumn(
