@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.operators.incremental import after_watermark, upsert
-from martwright.operators.joins import country_with_us, hold
+from martwright.operators.incremental import after_watermark, merge_into
+from martwright.operators.joins import country_with_us
 from martwright.operators.reshape import annual, widen
 from martwright.operators.staging import stage_country, stage_series_with_value
 from martwright.plans.contracts import (
@@ -23,27 +23,31 @@ from martwright.plans.marts import SNAPSHOT_FIRST_YEAR, country_snapshot, stampe
 from martwright.schemas import RAW_COUNTRY, RAW_SERIES_NAMED
 from martwright.sources.documents import read_country_indicators, read_series_strict
 from martwright.sources.landing import typed_raw
-from martwright.sources.sinks import full_refresh, latest_version, read_refreshed
+from martwright.sources.sinks import full_refresh, read_if_exists, read_refreshed
 
 # Where loading starts for a series or country not seen before.
 FIRST_DATE = date(2000, 1, 1)
 FIRST_YEAR = 2000
 
 
+# Stored layout of the series: partitioned by year, so a load rewrites recent years only.
+STORED_SERIES = T.StructType([*RAW_SERIES_NAMED, T.StructField("year", T.IntegerType())])
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if latest_version(spark, path) == 0:
-        return spark.createDataFrame([], schema)
-    return read_refreshed(spark, path)
+    stored = read_if_exists(spark, path, schema)
+    return spark.createDataFrame([], schema) if stored is None else stored
 
 
 def load_series(spark: SparkSession, landing: str, path: str, names: Mapping[str, str]) -> None:
     """Add observations from each series' newest date on; that date is read again and replaced."""
-    stored = _stored(spark, path, RAW_SERIES_NAMED)
+    stored = _stored(spark, path, STORED_SERIES)
     delivered = typed_raw(read_series_strict(spark, landing, names), RAW_SERIES_NAMED)
-    fresh = hold(
-        after_watermark(delivered, stored, ["series_id"], "date", F.lit(FIRST_DATE), inclusive=True)
+    fresh = after_watermark(
+        delivered, stored, ["series_id"], "date", F.lit(FIRST_DATE), inclusive=True
     )
-    full_refresh(upsert(stored, fresh, ["series_id", "date"]), path)
+    by_year = fresh.withColumn("year", F.year("date"))
+    merge_into(by_year, path, ["series_id", "date"], "year", f"{path}_merging")
 
 
 def load_country(
@@ -56,15 +60,11 @@ def load_country(
     """Add years after the newest loaded one of each indicator and country."""
     stored = _stored(spark, path, RAW_COUNTRY)
     delivered = typed_raw(read_country_indicators(spark, landing, names), RAW_COUNTRY)
+    series = ["indicator_id", "country_code"]
     fresh = after_watermark(
-        delivered,
-        stored,
-        ["indicator_id", "country_code"],
-        "year",
-        F.lit(first_year),
-        inclusive=False,
+        delivered, stored, series, "year", F.lit(first_year), inclusive=False
     )
-    full_refresh(stored.unionByName(fresh), path)
+    merge_into(fresh, path, [*series, "year"], "year", f"{path}_merging")
 
 
 def country_years(
@@ -95,8 +95,8 @@ def refresh(
     load_series(spark, series_landing, f"{folder}/raw_series", series_names)
     load_country(spark, country_landing, f"{folder}/raw_country", indicator_names, load_after_year)
     joined = country_years(
-        stage_country(read_refreshed(spark, f"{folder}/raw_country")),
-        stage_series_with_value(read_refreshed(spark, f"{folder}/raw_series")),
+        stage_country(_stored(spark, f"{folder}/raw_country", RAW_COUNTRY)),
+        stage_series_with_value(_stored(spark, f"{folder}/raw_series", STORED_SERIES)),
         country_columns,
         us_columns,
     )

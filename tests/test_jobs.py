@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.operators import quality
-from martwright.plans import contracts, indicators, trips
+from martwright.plans import contracts, indicators, snapshot, trips
 from martwright.sources.sinks import read_refreshed
 from tests.test_sources import write
 from tests.test_staging import raw_trips
@@ -130,3 +130,33 @@ def test_indicator_job_reloads_revised_history(spark, tmp_path):
     assert got == [(4.1, None), (4.25, 0.15), (None, None)]
     card = indicators.headline(mart).first()
     assert tuple(card) == ("Unemployment Rate", "4.25%", "+0.15 pp", "inverse")
+
+
+def test_snapshot_job_loads_past_its_watermarks(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+
+    def land(run, unemployment, gdp):
+        """One delivery: US observations ``{date: value}`` and German GDP ``{year: value}``."""
+        series, country = tmp_path / run / "series", tmp_path / run / "country"
+        observations = ",".join(
+            f'{{"date": "{day}", "value": "{value}"}}' for day, value in unemployment.items()
+        )
+        write(series, "series_id=UNRATE/page.json", f'{{"observations": [{observations}]}}')
+        rows = ",".join(
+            f"""{{"countryiso3code": "DEU", "country": {{"id": "DE", "value": "Germany"}},
+                 "date": "{year}", "value": {value}}}"""
+            for year, value in gdp.items()
+        )
+        write(country, "indicator_id=NY.GDP.MKTP.CD/deu.json", f'[{{"page": 1}}, [{rows}]]')
+        mart = snapshot.refresh(spark, str(series), str(country), folder)
+        return sorted(
+            (r.observation_year, r.gdp_billions_usd, r.us_unemployment_fred_pct)
+            for r in mart.collect()
+        )
+
+    first = land("r1", {"2019-12-01": 3.6, "2020-01-01": 3.5}, {1999: 1e9, 2000: 2e9, 2019: 3.9e12})
+    assert first == [(2019, 3900.0, 3.6)]
+    again = land("r2", {"2020-01-01": 3.55, "2020-04-01": 14.8}, {2019: 1.0, 2020: 3.8e12})
+    assert again == [(2019, 3900.0, 3.6), (2020, 3800.0, 14.8)]
+    series = spark.read.parquet(f"{folder}/raw_series").orderBy("date").collect()
+    assert [r.value for r in series] == [3.6, 3.55, 14.8]
