@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from martwright.llm import language_id, packing
 from martwright.llm.oracle import ORACLE_SQL  # noqa: F401
 from martwright.llm.quality_rules import quality_rules
+from martwright.llm.token_counts import token_counts
+
+TOKEN_LIMIT = 512
+SEQUENCE_TOKENS = 4096
+END_ID = 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,9 +29,37 @@ def query(function):
     return function
 
 
+def remainder(id: str, folds: int) -> Column:
+    """Fold of a row by its id; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % folds
+
+
 @query
 def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(table(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lines_removed",
     )
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf, "documents"), path, TOKEN_LIMIT)
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.token_pieces(
+        table(spark, sf, "documents"), path, END_ID, SEQUENCE_TOKENS, with_ids=False
+    )
+    return packing.best_fit(pieces, SEQUENCE_TOKENS)
+
+
+@query
+def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    dictionaries = language_id.learn_dictionaries(docs.where(remainder("doc_id", 4) != 2))
+    found = language_id.identify(docs, dictionaries)
+    return found.withColumn("held_out", remainder("doc_id", 4) == 2)
