@@ -7,6 +7,7 @@ language whose dictionary leaves the fewest bytes wins, and a narrow win is mark
 from __future__ import annotations
 
 import math
+import re
 from functools import lru_cache
 
 import pyarrow as pa
@@ -18,11 +19,17 @@ from martwright.llm.common import map_batches, texts_of
 DICTIONARY_ROWS = 400
 DICTIONARY_BYTES = 96 * 1024
 BLOCK_BYTES = 2048
-LEVEL = 3
+LEVEL = 9
 SHARPNESS = 40.0
 MIN_MARGIN = 0.02
 MAX_LANGUAGES = 1000
 UNDETERMINED = "und"
+NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    """Lower-case words alone, as marks and capitals tell little of a language."""
+    return NO_LETTERS.sub(" ", text.lower())
 
 
 def learn_dictionaries(
@@ -67,7 +74,7 @@ def learn_dictionaries(
     parts: dict[str, list[tuple[int, str]]] = {}
     for row in sample.collect():
         parts.setdefault(row["lang"], []).append((row["at"], row["part"]))
-    return {name: "\n".join(p for _, p in sorted(found)).encode() for name, found in sorted(parts.items())}
+    return {name: letters("\n".join(p for _, p in sorted(found))).encode() for name, found in sorted(parts.items())}
 
 
 class Compressors:
@@ -89,7 +96,7 @@ class Compressors:
         """Language, score and margin; every block of the whole text is compressed."""
         if not self.names or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, 0.0
-        data = text.encode()
+        data = letters(text).encode()
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
         sizes = [sum(len(compress(b)) for b in blocks) for compress in self.all]
         best = min(sizes)

@@ -64,3 +64,36 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars,
         and lost * 100 <= chars * 50 as kept,
     lines_removed::bigint as lines_removed
 from counted"""
+
+ORACLE_SQL["op6_warc"] = """
+with payloads as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+        sha1(coalesce(html, '')) as payload_digest from pages),
+last as (select payload_digest, max(page_id) as last_id from payloads group by payload_digest)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+    case when payload_bytes >= 1000 and page_id is distinct from last_id
+        and last_id is not null then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 1000 and page_id is distinct from last_id then last_id end as refers_to
+from payloads join last using (payload_digest)"""
+
+_ESCAPE = r"""regexp_replace(replace({0}, chr(92), repeat(chr(92), 2)),
+    '(<|\[)(/?s>|/?INST\]|</?SYS>>|/SYS>>)', '\1\\\2', 'g')"""
+
+ORACLE_SQL["op8_chat_formatting"] = f"""
+with turns as (
+    select conv_id, turn, replace(coalesce(role, ''), chr(10), ' ') as role,
+        coalesce(text, '') as text
+    from (select conv_id, turn, role, text from conversations
+          union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+          union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+told as (
+    select conv_id, count(*) as n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as turns,
+        coalesce(string_agg(text, '' order by turn, role, text)
+            filter (where role = 'assistant'), '') as loss,
+        sum(8 + length({_ESCAPE.format("role")}) + length({_ESCAPE.format("text")})) as size
+    from turns group by conv_id)
+select conv_id, n_turns::bigint as n_turns, sha256(turns) as turns_sha256,
+    length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256,
+    size::bigint as formatted_chars
+from told"""

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import language_id, packing
+from martwright.llm import chat, language_id, packing, warc
+from martwright.llm.common import stored
 from martwright.llm.oracle import ORACLE_SQL  # noqa: F401
 from martwright.llm.quality_rules import quality_rules
 from martwright.llm.token_counts import token_counts
@@ -63,3 +64,21 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     dictionaries = language_id.learn_dictionaries(docs.where(remainder("doc_id", 4) != 2))
     found = language_id.identify(docs, dictionaries)
     return found.withColumn("held_out", remainder("doc_id", 4) == 2)
+
+
+@query
+def op6_warc(spark: SparkSession, sf: str) -> DataFrame:
+    records = warc.plan_records(table(spark, sf, "pages"))
+    archives = stored(warc.write_archives(records), "archives")
+    return warc.read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op8_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    extra = [(-1, 0, "user", control), (-1, 1, "assistant", control)]
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = given.unionByName(spark.createDataFrame(extra, given.schema))
+    return chat.read_back(chat.format_conversations(chat.linear_trees(rows)))
