@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import chat, language_id, packing, warc
+from martwright.llm import chat, language_id, packing, quality_classifier, warc
 from martwright.llm.common import stored
 from martwright.llm.oracle import ORACLE_SQL  # noqa: F401
 from martwright.llm.quality_rules import quality_rules
@@ -82,3 +82,16 @@ def op8_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     rows = given.unionByName(spark.createDataFrame(extra, given.schema))
     return chat.read_back(chat.format_conversations(chat.linear_trees(rows)))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    known = table(spark, sf, "labels").where(remainder("doc_id", 5) != 0)
+    model = quality_classifier.fit(docs, known, "quality")
+    return quality_classifier.score(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
