@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import chat, language_id, packing, quality_classifier, warc
+from martwright.llm import chat, decontaminate, language_id, packing, quality_classifier, warc
 from martwright.llm.common import stored
 from martwright.llm.oracle import ORACLE_SQL  # noqa: F401
 from martwright.llm.quality_rules import quality_rules
@@ -95,3 +95,8 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
