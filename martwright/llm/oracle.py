@@ -97,3 +97,36 @@ select conv_id, n_turns::bigint as n_turns, sha256(turns) as turns_sha256,
     length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256,
     size::bigint as formatted_chars
 from told"""
+
+ORACLE_SQL["op3_minhash_near_dedup"] = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents),
+shingles as (
+    select distinct doc_id, s from (
+        select doc_id, unnest(
+            case when len(w) = 0 then []
+                 when len(w) < 5 then [array_to_string(w, ' ')]
+                 else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            end) as s
+        from words)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+    select a, b from common
+    join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * common.n >= 75 * (x.n + y.n - common.n)),
+both_ways as (select a, b from links union all select b, a from links),
+reached as (
+    select a as doc_id, a as other from both_ways
+    union
+    select reached.doc_id, both_ways.b from reached join both_ways on reached.other = both_ways.a),
+smallest as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, coalesce(sizes.n, 0)::bigint as n_shingles,
+    coalesce(component_id, doc_id) as component_id,
+    doc_id = coalesce(component_id, doc_id) as kept
+from documents left join sizes using (doc_id) left join smallest using (doc_id)"""

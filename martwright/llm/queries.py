@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm import chat, decontaminate, language_id, packing, quality_classifier, warc
 from martwright.llm.common import stored
+from martwright.llm.minhash import near_duplicates
 from martwright.llm.oracle import ORACLE_SQL  # noqa: F401
 from martwright.llm.quality_rules import quality_rules
 from martwright.llm.token_counts import token_counts
@@ -100,3 +101,8 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
