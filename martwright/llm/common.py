@@ -46,7 +46,17 @@ def record_batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatc
 
 
 def stored(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+    """``df`` written to the shared folder and read back: computed once, lineage cut.
+
+    What was shuffled for it is no longer needed then and leaves the executors' disks.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(schema or df.schema).parquet(path)

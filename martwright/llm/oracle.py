@@ -130,3 +130,32 @@ select doc_id, coalesce(sizes.n, 0)::bigint as n_shingles,
     coalesce(component_id, doc_id) as component_id,
     doc_id = coalesce(component_id, doc_id) as kept
 from documents left join sizes using (doc_id) left join smallest using (doc_id)"""
+
+ORACLE_SQL["op9_suffix_array_dedup"] = """
+with texts as (select doc_id, encode(coalesce(text, '')) as b from documents),
+starts as (select doc_id, b, unnest(range(1, octet_length(b) - 48)) as i from texts),
+strings as (select doc_id, i, b[i:i + 49] as s from starts),
+firsts as (select s, min(doc_id) as low from strings group by s),
+hits as (select doc_id, i from strings join firsts using (s) where low < doc_id),
+marked as (
+    select doc_id, i,
+        case when i - lag(i) over (partition by doc_id order by i) <= 50 then 0 else 1 end as fresh
+    from hits),
+numbered as (
+    select doc_id, i, sum(fresh) over (partition by doc_id order by i) as run from marked),
+runs as (
+    select doc_id, min(i) as a, max(i) + 49 as z from numbered group by doc_id, run),
+gaps as (
+    select doc_id, lag(z, 1, 0) over (partition by doc_id order by a) + 1 as a, a - 1 as z from runs
+    union all
+    select doc_id, max(z) + 1, 9000000000 from runs group by doc_id),
+left_over as (
+    select gaps.doc_id,
+        unhex(string_agg(case when z >= a then hex(b[a:z]) else '' end, '' order by a)) as kept
+    from gaps join texts using (doc_id) group by gaps.doc_id),
+totals as (
+    select doc_id, sum(z - a + 1) as n_removed, count(*) as n_spans from runs group by doc_id)
+select doc_id, octet_length(b)::bigint as n_bytes,
+    coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+    sha256(coalesce(kept, b)) as kept_sha256
+from texts left join left_over using (doc_id) left join totals using (doc_id)"""

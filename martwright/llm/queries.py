@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import chat, decontaminate, language_id, packing, quality_classifier, warc
+from martwright.llm import (
+    chat,
+    decontaminate,
+    language_id,
+    packing,
+    quality_classifier,
+    repeats,
+    warc,
+)
 from martwright.llm.common import stored
 from martwright.llm.minhash import near_duplicates
 from martwright.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -106,3 +114,8 @@ def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.removal_report(table(spark, sf, "documents"))
