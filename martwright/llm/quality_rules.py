@@ -201,11 +201,14 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT
     )
     lost = F.col("_all_chars") - F.col("_good_chars")
+    # Always true, but not for Spark to know: a filter on the verdict would else move below
+    # the steps above, and each step be computed anew for every word that needs it.
+    here = F.monotonically_increasing_id() >= 0
     return counted.select(
         *(F.col(held).alias(name) for held, name in own.items()),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
         "lines_removed",
-        (~failed & (lost * 100 <= F.col("_all_chars") * MAX_LOST_PERCENT)).alias("kept"),
+        (here & ~failed & (lost * 100 <= F.col("_all_chars") * MAX_LOST_PERCENT)).alias("kept"),
         "cleaned_text",
     )

@@ -480,7 +480,7 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     Documents left empty stay, with an empty text; a null text stays null.
     """
     joined = _with_spans(docs, repeated_spans(docs, id, text), id)
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         bodies = batch.column(place).to_pylist()
@@ -491,6 +491,6 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         ]
         columns = batch.columns[:-1]
         columns[place] = pa.array(left, pa.string())
-        return pa.RecordBatch.from_arrays(columns, names=docs.columns)
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(joined, cut, docs.schema)
