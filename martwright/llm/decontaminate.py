@@ -12,7 +12,6 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,15 +161,17 @@ class Search:
         return any(self.items[n][1].find(text[a:b]) for n, a, b in self.windows(text)) if self.items else False
 
 
-_searches: dict[tuple[int, float], Search] = {}
+_latest: list[tuple[list, float, Search]] = []
 
 
-def _search(shared: Broadcast, rate: float) -> Search:
-    key = shared._jid if hasattr(shared, "_jid") else id(shared), rate
-    if key not in _searches:
-        _searches.clear()
-        _searches[key] = Search(shared.value, rate)
-    return _searches[key]
+def _search(items: list[tuple[object, str]], rate: float) -> Search:
+    """The automaton of a block, made once per worker for the block it works on.
+
+    The block itself is held beside it, so that no other object can be taken for it.
+    """
+    if not (_latest and _latest[0][0] is items and _latest[0][1] == rate):
+        _latest[:] = [(items, rate, Search(items, rate))]
+    return _latest[0][2]
 
 
 def _blocks(items: DataFrame, id: str, text: str) -> Iterator[list[tuple[object, str]]]:
@@ -210,7 +211,7 @@ def find_leaks(
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matches = _search(shared, rate).matches
+            matches = _search(shared.value, rate).matches
             for batch in batches:
                 rows: list[tuple] = []
                 for at, text in enumerate(texts_of(batch.column(1))):
@@ -240,7 +241,7 @@ def without_leaks(
         shared = spark.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            found = _search(shared, rate).any_match
+            found = _search(shared.value, rate).any_match
             for batch in batches:
                 keep = [not found(normal(t)) for t in texts_of(batch.column(place))]
                 yield batch.filter(pa.array(keep, pa.bool_()))
