@@ -205,8 +205,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     rows get equal results; rows that share an id but not the text have the component of
     their own text. ``kept`` marks the smallest id of a component.
     """
-    signed = stored(signatures(docs, id, text), "signatures")
-    linkable = signed.where("id is not null and set_key is not null")
+    linked = F.when(F.col("id").isNotNull(), F.col("set_key"))
+    signed = stored(signatures(docs, id, text).withColumn("set_key", linked), "signatures")
+    linkable = signed.where("set_key is not null")
     nodes = stored(
         linkable.groupBy("set_key").agg(F.min("id").alias("node"), F.min_by("bands", "id").alias("bands")), "nodes"
     )
@@ -214,8 +215,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         nodes.select(F.col("node").alias("member"), F.col("set_key").alias("member_key"), F.explode("bands").alias("band")),
         "entries",
     )
-    texts = docs.select(docs[id].alias("id"), docs[text].alias("text"))
     stars = stored(_stars(entries, 0), "pairs")
+    # Only texts of documents that share a bucket are ever compared.
+    involved = stars.select(F.col("member").alias("id")).unionByName(stars.select(F.col("center").alias("id")))
+    told = docs.select(docs[id].alias("id"), docs[text].alias("text"))
+    texts = stored(told.join(involved.distinct(), "id", "left_semi"), "texts")
     closest = F.max_by(F.struct("center", "center_key"), F.struct("shared", F.xxhash64("center")))
     first = stars.groupBy("member", "member_key").agg(closest.alias("c"))
     links = _confirmed(first.select("c.center", "c.center_key", "member", "member_key"), texts)
