@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions.measures import from_units, ratio_of, round_half_up, units
+from martwright.functions.measures import exact_sum, plain_mean, ratio_of, round_half_up, value_of
 from martwright.operators.joins import hold
 from martwright.operators.quantiles import band_edges, quantiles_of_counts, value_counts_of
 
@@ -60,12 +60,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = measures.unpivot([], list(columns), "measure", "amount")
     counts = hold(value_counts_of(long, "measure", "amount"))
 
-    n, amount = F.col("n"), units(F.col("value"))
-    whole = amount.cast("decimal(19,0)")
     totals = counts.groupBy("measure").agg(
         F.sum("n").alias("n_rows"),
-        F.sum(n * amount).alias("_sum"),
-        F.sum((whole * whole * n).cast("decimal(38,0)")).alias("_squares"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         band_edges().alias("edges"),
@@ -74,13 +70,25 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     quartiles = quantiles_of_counts(
         counts, summary, "measure", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     )
-    spread = F.col("_squares").cast("double") - F.pow(F.col("_sum").cast("double"), 2) / F.col("n_rows")
-    deviation = F.sqrt(F.try_divide(spread, F.col("n_rows") - 1))
-    return summary.join(quartiles, "measure").select(
+    means = measures.agg(*[plain_mean(name).alias(name) for name in columns]).first()
+    # Squares are taken around the mean, so that they keep their digits.
+    around = [F.pow(F.col(name) - F.lit(means[name]).cast("double"), 2) for name in columns]
+    squares = measures.agg(*[exact_sum(x).alias(name) for x, name in zip(around, columns)])
+    told = [
+        F.struct(
+            F.lit(name).alias("measure"),
+            F.lit(means[name]).cast("double").alias("_mean"),
+            value_of(F.col(name)).alias("_squares"),
+        )
+        for name in columns
+    ]
+    moments = squares.select(F.explode(F.array(*told)).alias("m")).select("m.*")
+    deviation = F.sqrt(F.try_divide(F.col("_squares"), F.col("n_rows") - 1))
+    return summary.join(quartiles, "measure").join(moments, "measure").select(
         "measure",
         "n_rows",
-        round_half_up(ratio_of(from_units(F.col("_sum")), F.col("n_rows")), 4).alias("mean"),
-        round_half_up(from_units(deviation), 4).alias("std"),
+        round_half_up(F.col("_mean"), 4).alias("mean"),
+        round_half_up(deviation, 4).alias("std"),
         "min",
         *[round_half_up(F.col(name), 4).alias(name) for name in ("q25", "q50", "q75")],
         "max",

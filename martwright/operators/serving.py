@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions.calendar import years_before
 from martwright.functions.labels import change_polarity, change_text, value_text
-from martwright.functions.measures import from_units, ratio_of, units
+from martwright.functions.measures import plain_mean
 from martwright.operators.joins import keep_matching
 from martwright.sources.files import lower_names
 
@@ -79,23 +79,24 @@ def only_top_zones(grid: DataFrame, zone_hours: DataFrame, n: int = TOP_ZONES) -
 
 def duration_by_borough(mart: DataFrame) -> DataFrame:
     """Unweighted mean of the daily averages and medians, and all trips, per borough."""
-
-    def plain_mean(name: str) -> Column:
-        return ratio_of(from_units(F.sum(units(F.col(name)))), F.count(name)).alias(name)
-
     return mart.groupBy("pickup_borough").agg(
-        plain_mean("avg_duration_minutes"),
-        plain_mean("median_duration_minutes"),
+        plain_mean("avg_duration_minutes").alias("avg_duration_minutes"),
+        plain_mean("median_duration_minutes").alias("median_duration_minutes"),
         F.sum("total_trips").alias("total_trips"),
     )
 
 
 def latest(df: DataFrame, key: str = "indicator_name", at: str = "observation_date") -> DataFrame:
-    """Per key the newest non-null value of every column, possibly of different dates."""
+    """Per key the newest non-null value of every column, possibly of different dates.
+
+    Of several values of one date the largest counts, whatever order the rows come in.
+    """
     columns = [name for name in df.columns if name != key]
     return df.groupBy(key).agg(
         *[
-            F.max_by(name, F.when(F.col(name).isNotNull(), F.col(at))).alias(name)
+            F.max_by(
+                name, F.when(F.col(name).isNotNull(), F.struct(F.col(at), F.col(name)))
+            ).alias(name)
             for name in columns
         ]
     )

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from martwright.functions.labels import payment_label
 from martwright.functions.measures import (
-    from_units,
+    exact_sum,
+    merged,
     ratio_of,
     round_half_up,
-    units,
+    value_of,
 )
 from martwright.operators.windows import RATE_SERIES, with_change
 
@@ -20,7 +21,6 @@ from martwright.operators.windows import RATE_SERIES, with_change
 DURATION_BAND = (1, 180)
 SNAPSHOT_FIRST_YEAR = 2000
 MINUTES = "trip_duration_minutes"
-SUMMED_AS_IS = (MINUTES, "tip_rate")
 
 
 # Trip marts are built in two steps. Parts are exact counts and sums that can be added
@@ -30,9 +30,9 @@ SUMMED_AS_IS = (MINUTES, "tip_rate")
 
 
 def _parts(trips: DataFrame, keys: Sequence[str | Column], measures: Sequence[str]) -> DataFrame:
-    """Rows, sums and value counts per group; money and distances are summed exactly."""
+    """Rows, sums and value counts per group; all sums are exact."""
     sums = [
-        F.sum(F.col(name) if name in SUMMED_AS_IS else units(F.col(name))).alias(f"{name}_sum")
+        (F.sum(name) if name == MINUTES else exact_sum(F.col(name))).alias(f"{name}_sum")
         for name in measures
     ]
     counts = [F.count(name).alias(f"{name}_n") for name in measures]
@@ -44,14 +44,14 @@ def _trips() -> Column:
 
 
 def _total(measure: str) -> Column:
-    return round_half_up(from_units(F.sum(f"{measure}_sum")), 2)
+    return round_half_up(value_of(merged(f"{measure}_sum")), 2)
 
 
 def _mean(measure: str) -> Column:
-    added, values = F.sum(f"{measure}_sum"), F.sum(f"{measure}_n")
+    values = F.sum(f"{measure}_n")
     if measure == MINUTES:
-        return round_half_up(ratio_of(added, values), 1)
-    return round_half_up(ratio_of(from_units(added), values), 2)
+        return round_half_up(ratio_of(F.sum(f"{MINUTES}_sum"), values), 1)
+    return round_half_up(ratio_of(value_of(merged(f"{measure}_sum")), values), 2)
 
 
 def daily_revenue_parts(trips: DataFrame, *also: str) -> DataFrame:
@@ -111,7 +111,8 @@ def tip_rate() -> Column:
 
 def mean_tip_rate() -> Column:
     """Aggregate: mean of the trips' own tip rates, not the rate of the sums."""
-    return round_half_up(F.avg(tip_rate()), 2)
+    rate = tip_rate()
+    return round_half_up(ratio_of(value_of(exact_sum(rate)), F.count(rate)), 2)
 
 
 def payment_summary_parts(trips: DataFrame, *also: str) -> DataFrame:
@@ -129,9 +130,7 @@ def payment_summary_of(parts: DataFrame) -> DataFrame:
         _total("total_amount").alias("total_revenue"),
         _mean("fare_amount").alias("avg_fare"),
         _mean("tip_amount").alias("avg_tip"),
-        round_half_up(ratio_of(F.sum("tip_rate_sum"), F.sum("tip_rate_n")), 2).alias(
-            "avg_tip_rate_pct"
-        ),
+        _mean("tip_rate").alias("avg_tip_rate_pct"),
         _mean("trip_distance").alias("avg_distance_miles"),
         _mean(MINUTES).alias("avg_duration_minutes"),
     )

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from martwright.functions import calendar, casts, labels, measures
@@ -81,6 +82,43 @@ def test_totals_are_exact(spark):
     assert df.agg(measures.mean("x")).first()[0] == 0.1
 
 
+def test_large_values_are_not_clamped(spark):
+    df = spark.createDataFrame([(1e18,), (2e17,), (-9e16,), (1234567890123.45,)], "x double")
+    assert column(df, measures.round_half_up(F.col("x"), 2)) == [1e18, 2e17, -9e16, 1234567890123.45]
+    assert column(df, measures.round_half_up(F.col("x"), 4))[:3] == [1e18, 2e17, -9e16]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_past_the_range_of_an_integer(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for value in (1e13, 1e18, 1e20, 1e300):
+            df = spark.range(0, 100, 1, 8).select(F.lit(value).alias("x"))
+            assert df.agg(measures.total("x")).first()[0] == pytest.approx(100 * value, rel=1e-14)
+            parts = df.groupBy(F.spark_partition_id()).agg(measures.exact_sum(F.col("x")).alias("s"))
+            again = parts.agg(measures.value_of(measures.merged("s"))).first()[0]
+            assert again == pytest.approx(100 * value, rel=1e-14)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_small_values_are_not_cut(spark):
+    df = spark.createDataFrame([(0.00004,)] * 4, "x double")
+    assert df.agg(measures.total("x", 6)).first()[0] == 0.00016
+    mixed = spark.createDataFrame([(1e14,), (12.34,), (-0.5,), (1 / 3,)], "x double")
+    assert mixed.agg(measures.total("x", 4)).first()[0] == 100000000000012.17
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    df = spark.range(0, 5000, 1, 7).select((F.sin("id") * F.pow(F.lit(10.0), F.col("id") % 9)).alias("x"))
+    sums = {
+        df.repartition(n).agg(measures.value_of(measures.exact_sum(F.col("x")))).first()[0]
+        for n in (1, 3, 8)
+    }
+    assert len(sums) == 1
+
+
 def test_mean_skips_nulls_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double")
     assert df.agg(measures.mean("x")).first()[0] == 1.5
