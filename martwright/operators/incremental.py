@@ -12,8 +12,10 @@ from martwright.sources.sinks import (
     add_version,
     full_refresh,
     latest_version,
+    overwrite,
     read_if_exists,
     read_refreshed,
+    replace_partition,
     replace_partitions,
 )
 
@@ -63,12 +65,16 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], touched: DataFrame | None = None
+) -> DataFrame:
     """The target with changed keys replaced and new keys added.
 
-    ``changes`` is read twice; ``hold`` it first when it is costly to build.
+    Keys of ``touched`` that ``changes`` no longer has are removed. ``changes`` is read
+    twice; ``hold`` it first when it is costly to build.
     """
-    kept = lookup_join(target, changes.select(*keys), list(keys), "left_anti")
+    gone = (changes if touched is None else touched).select(*keys)
+    kept = lookup_join(target, gone, list(keys), "left_anti")
     return kept.select(changes.columns).unionByName(changes)
 
 
@@ -103,11 +109,17 @@ def recompute_touched(
 
 
 def merge_into(
-    changes: DataFrame, path: str, keys: Sequence[str], partition: str, staging: str
+    changes: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition: str,
+    staging: str,
+    touched: DataFrame | None = None,
 ) -> None:
     """Upsert into a partitioned parquet table, rewriting only the touched partitions.
 
-    ``partition`` must follow from the keys, so a key never moves. The merged
+    ``partition`` must follow from the keys, so a key never moves. ``touched`` may name
+    more keys and their partitions: those without a change lose their row. The merged
     partitions are complete in ``staging`` before the table is touched. A job
     that dies while moving them loses nothing: the next merge moves them first.
     """
@@ -121,15 +133,31 @@ def merge_into(
     if target is None:
         replace_partitions(changes, path, partition, sort_by=keys)
         return
-    full_refresh(upsert(only_partitions_of(target, changes, partition), changes, keys), staging)
+    named = changes if touched is None else touched
+    version = latest_version(spark, staging) + 1
+    overwrite(named.select(partition).distinct(), _partition_list(staging, version))
+    merged = upsert(only_partitions_of(target, named, partition), changes, keys, touched)
+    full_refresh(merged, staging)
     finish_merge(spark, path, keys, partition, staging)
 
 
+def _partition_list(staging: str, version: int) -> str:
+    return f"{staging}/partitions/{version}"
+
+
 def finish_merge(
     spark: SparkSession, path: str, keys: Sequence[str], partition: str, staging: str
 ) -> None:
-    """Move fully staged partitions into the table unless that has been done."""
+    """Move fully staged partitions into the table unless that has been done.
+
+    A partition left without rows is emptied.
+    """
     staged = latest_version(spark, staging)
     if staged > latest_version(spark, staging, APPLIED):
-        replace_partitions(read_refreshed(spark, staging), path, partition, sort_by=keys)
+        rows = read_refreshed(spark, staging)
+        replace_partitions(rows, path, partition, sort_by=keys)
+        wanted = spark.read.parquet(_partition_list(staging, staged))
+        empty = wanted.join(rows.select(partition).distinct(), partition, "left_anti")
+        for row in empty.where(F.col(partition).isNotNull()).collect():
+            replace_partition(rows, path, partition, str(row[0]))
         add_version(spark, staging, staged, APPLIED)

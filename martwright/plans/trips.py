@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from martwright.functions.calendar import month_start
 from martwright.functions.casts import parse_columns
 from martwright.operators.incremental import merge_into, recompute_touched
-from martwright.operators.joins import with_zones
+from martwright.operators.joins import hold, with_zones
 from martwright.operators.quality import (
     Check,
     Contract,
@@ -24,7 +24,7 @@ from martwright.operators.quality import (
 )
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import contracts, marts
-from martwright.schemas import STAGED_TRIPS
+from martwright.schemas import RUN_LOG, STAGED_TRIPS
 from martwright.session import tune
 from martwright.sources.sinks import (
     full_refresh,
@@ -32,7 +32,7 @@ from martwright.sources.sinks import (
     log_run,
     read_if_exists,
     read_refreshed,
-    replace_partitions,
+    replace_partition,
 )
 
 
@@ -76,9 +76,12 @@ def staged_trips(raw: DataFrame, settings: TripSettings) -> DataFrame:
     return valid_trips(cast_trips(raw), settings.first_day, settings.end_day)
 
 
-def stage_month(landed: DataFrame, tables: TripTables, month: str, settings: TripSettings) -> None:
+def stage_month(
+    landed: DataFrame, tables: TripTables, month: str, settings: TripSettings, replace: bool = False
+) -> None:
     """Store a landed month typed and filtered: filters on text cannot skip row groups."""
-    load_month(staged_trips(landed, settings), tables.staged_trips, month, by="source_month")
+    staged = staged_trips(landed, settings)
+    load_month(staged, tables.staged_trips, month, by="source_month", replace=replace)
 
 
 @dataclass(frozen=True)
@@ -121,8 +124,9 @@ def build_marts(
     """Read only the month's trips, store their parts, and bring the marts up to date.
 
     The parts of a delivered month replace themselves, so a repeated run counts
-    nothing twice. A dated mart gets the rows of the days the delivery touches,
-    late and stray ones included; the others are rebuilt from the small parts.
+    nothing twice. A dated mart gets the rows of the days the delivery touches, or
+    touched when it was built before: late and stray ones included, and those that
+    it no longer has removed. The others are rebuilt from the small parts.
     """
     staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
     arrived = staged.where(F.col("source_month") == month)
@@ -130,21 +134,55 @@ def build_marts(
     for rollup in rollups(settings):
         path = f"{tables.folder}/parts/{rollup.mart}"
         fresh = rollup.parts(zoned if rollup.zoned else arrived, "source_month")
-        replace_partitions(fresh, path, "source_month")
-        stored = spark.read.schema(fresh.schema).parquet(path)
         if rollup.day is None:
+            replace_partition(fresh, path, "source_month", month)
+            stored = spark.read.schema(fresh.schema).parquet(path)
             full_refresh(rollup.finish(stored), getattr(tables, rollup.mart))
             continue
         keys = [rollup.day, "pickup_borough"]
-        touched = stored.where(F.col("source_month") == month).select(*keys).distinct()
+        touched = _touched_keys(spark, tables, rollup, fresh, keys, month)
+        replace_partition(fresh, path, "source_month", month)
+        stored = spark.read.schema(fresh.schema).parquet(path)
         changed = recompute_touched(touched, stored, keys, rollup.finish)
+        in_month = month_start(F.col(rollup.day))
         merge_into(
-            changed.withColumn("mart_month", month_start(F.col(rollup.day))),
+            changed.withColumn("mart_month", in_month),
             getattr(tables, rollup.mart),
             keys,
             "mart_month",
             f"{tables.folder}/merging/{rollup.mart}",
+            touched.withColumn("mart_month", in_month),
         )
+        pending = _pending(tables, rollup)
+        replace_partition(stored.limit(0).select("source_month", *keys), pending, "source_month", month)
+
+
+def _pending(tables: TripTables, rollup: Rollup) -> str:
+    return f"{tables.folder}/pending/{rollup.mart}"
+
+
+def _touched_keys(
+    spark: SparkSession,
+    tables: TripTables,
+    rollup: Rollup,
+    fresh: DataFrame,
+    keys: Sequence[str],
+    month: str,
+) -> DataFrame:
+    """Keys of a month's delivery, now and before, noted until the mart has them.
+
+    The note outlives a job that dies between replacing the parts and the merge.
+    """
+    schema = fresh.select("source_month", *keys).schema
+    found = fresh.select("source_month", *keys)
+    parts = read_if_exists(spark, f"{tables.folder}/parts/{rollup.mart}", fresh.schema)
+    noted = read_if_exists(spark, _pending(tables, rollup), schema)
+    for before in (parts, noted):
+        if before is not None:
+            found = found.unionByName(before.where(F.col("source_month") == month).select(found.columns))
+    held = hold(found.distinct())
+    replace_partition(held, _pending(tables, rollup), "source_month", month)
+    return held.select(*keys)
 
 
 def mart_report(spark: SparkSession, tables: TripTables) -> DataFrame:
@@ -170,6 +208,12 @@ def mart_report(spark: SparkSession, tables: TripTables) -> DataFrame:
     return run_contracts(models, {})
 
 
+def _was_built(spark: SparkSession, tables: TripTables, month: str) -> bool:
+    log = read_if_exists(spark, tables.run_log, RUN_LOG)
+    done = (F.col("task_name") == "run_complete") & (F.col("status") == "SUCCESS")
+    return log is not None and not log.where(done & (F.col("month_processed") == month)).isEmpty()
+
+
 def run_month(
     spark: SparkSession,
     raw: DataFrame,
@@ -180,9 +224,13 @@ def run_month(
     checks: Sequence[Check],
     settings: TripSettings | None = None,
     contract: Contract | None = None,
+    replace: bool = False,
 ) -> bool:
     """One monthly run; True when every gate passed and the marts were built.
 
+    A month that was built before keeps its delivery unless ``replace`` is set. One that
+    never passed takes the new delivery, so it can be repaired and run again.
+
     ``checks`` guard the landed month and ``contract`` the staged one. A failing
     gate logs and leaves the marts alone; later months do not bring the failed one
     in. Marts that break their own contract are logged too. The final row is
@@ -202,7 +250,8 @@ def run_month(
         return passed
 
     try:
-        load_month(raw, tables.raw_trips, month)
+        anew = replace or not _was_built(spark, tables, month)
+        load_month(raw, tables.raw_trips, month, replace=anew)
         full_refresh(raw_zones, tables.raw_zones)
         zones = stage_zones(read_refreshed(spark, tables.raw_zones))
         stored = spark.read.schema(raw.schema).parquet(tables.raw_trips)
@@ -210,7 +259,7 @@ def run_month(
         gate = run_suite(coerce_for_checks(landed), checks)
         if not passes(gate, "quality_gate", "marts not built"):
             return False
-        stage_month(landed, tables, month, settings)
+        stage_month(landed, tables, month, settings, replace=anew)
         if contract is not None:
             staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
             this_month = staged.where(F.col("source_month") == month)

@@ -64,19 +64,36 @@ def replace_partitions(
     )
 
 
+def replace_partition(df: DataFrame, path: str, by: str, value: str) -> None:
+    """Overwrite one partition with the rows of ``df`` that belong to it, also with none."""
+    rows = df.where(F.col(by) == value).drop(by)
+    rows.write.mode("overwrite").parquet(f"{path}/{by}={value}")
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
 def load_month(
-    df: DataFrame, path: str, month: str, by: str = "SOURCE_MONTH", then_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    month: str,
+    by: str = "SOURCE_MONTH",
+    then_by: Sequence[str] = (),
+    *,
+    replace: bool = False,
 ) -> bool:
     """Write one month unless the table already has it; True when written.
 
     The look-up prunes to the month's partition and stops at its first row. The
     write replaces that partition, so a load that died halfway can be repeated.
+    With ``replace`` a month that is there gives way to the new delivery, even an
+    empty one.
     """
     spark = df.sparkSession
+    if replace and not then_by:
+        replace_partition(df, path, by, month)
+        return True
     loaded = read_if_exists(spark, path)
     if loaded is not None and not loaded.where(F.col(by) == month).isEmpty():
         return False
