@@ -56,9 +56,13 @@ def change(value: Column, previous: Column, is_rate: Column) -> Column:
 
 
 def with_change(series: DataFrame, rate_series: Sequence[str] = tuple(RATE_SERIES)) -> DataFrame:
-    """Add ``prev_value`` and ``mom_change`` to a staged series table."""
+    """Add ``prev_value`` and ``mom_change`` to a staged series table.
+
+    Observations of one date follow each other in order of series and value.
+    """
+    order = ["observation_date", "series_id", "value"]
     lagged = previous_value(
-        series, "indicator_name", "observation_date", "value", F.trunc("observation_date", "YEAR")
+        series, "indicator_name", order, "value", F.trunc("observation_date", "YEAR")
     )
     is_rate = F.col("series_id").isin(*rate_series)
     return lagged.withColumn(

@@ -73,7 +73,7 @@ RAW_NOT_NULL = [
 
 
 def raw_trip_suite(
-    rows: tuple[int, int] = SAMPLE_ROWS, columns: Sequence[str] = tuple(RAW_TRIP_COLUMNS)
+    rows: tuple[int, int] = MONTH_ROWS, columns: Sequence[str] = tuple(RAW_TRIP_COLUMNS)
 ) -> list[Check]:
     """The gate in front of the marts: 16 checks on one month of raw trips.
 

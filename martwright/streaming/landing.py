@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from martwright.functions.calendar import month_label
 from martwright.schemas import TRIP_FILE
 from martwright.sources.landing import stringify
+from martwright.sources.sinks import read_if_exists
 
 
 def land_new_files(
@@ -19,11 +20,12 @@ def land_new_files(
     schema: T.StructType = TRIP_FILE,
     time_column: str = "tpep_pickup_datetime",
 ) -> int:
-    """Append files not seen before to the text table; returns the rows read.
+    """Append files not seen before to the text table; returns the rows it gained.
 
     The checkpoint remembers the files and the sink's own log the finished
     batches, so a run that is killed and repeated adds every row once.
     """
+    before = _rows(spark, table)
     files = spark.readStream.schema(schema).parquet(drop_folder)
     month = month_label(F.col(time_column))
     query = (
@@ -36,4 +38,9 @@ def land_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    return _rows(spark, table) - before
+
+
+def _rows(spark: SparkSession, table: str) -> int:
+    stored = read_if_exists(spark, table)
+    return 0 if stored is None else stored.count()

@@ -6,8 +6,8 @@ import __spark_entry__ as entry_points
 from tests.oracle_check import connect, difference, oracle_table, spark_table
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = entry_points.QUERIES
+ORACLE = entry_points.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")

@@ -311,7 +311,7 @@ def stream_landing(spark, sf):
     landed = roles.landed_trips(spark, sf).drop("l_orderkey", "source_month")
     early = F.col("tpep_pickup_datetime") <= F.lit(CUT_DAY).cast("timestamp_ntz")
     for part in (landed.where(early), landed.where(~early)):
-        part.coalesce(4).write.mode("append").parquet(drop)
+        part.write.mode("append").parquet(drop)
         land_new_files(spark, drop, table, state, landed.schema)
     stored = spark.read.parquet(table)
     return stored.groupBy("SOURCE_MONTH").agg(F.count("*").alias("n_rows"))
