@@ -73,17 +73,22 @@ def sample_month(
 ) -> DataFrame:
     """``rows`` random rows of one month, or all of them if there are fewer.
 
-    The rows with the smallest random numbers are taken. Numbers far too large
-    to be among them are dropped first, so the final ordering sees little more
-    than the sample however long the month is.
+    Each row draws the MD5 of the seed and its cells, so the sample is the same however
+    the rows are laid out, and of equal rows any may be taken. Draws far too large to be
+    among the smallest are dropped first, so the final ordering sees little more than
+    the sample however long the month is; should too few be left, all take part.
     """
     in_month_rows = df.where(F.col(month_column) == month)
     available = in_month_rows.count()
     if available <= rows:
         return in_month_rows
-    enough = min(1.0, (rows + 10 * rows**0.5 + 100) / available)
-    drawn = in_month_rows.withColumn("_draw", F.rand(seed))
-    return drawn.where(F.col("_draw") <= enough).orderBy("_draw").limit(rows).drop("_draw")
+    cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in df.columns]
+    drawn = in_month_rows.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), *cells)))
+    enough = (rows + 10 * rows**0.5 + 100) / available
+    if enough < 1:
+        near = drawn.where(F.col("_draw") < f"{int(enough * 16**8):08x}")
+        drawn = near if near.count() >= rows else drawn
+    return drawn.orderBy("_draw").limit(rows).drop("_draw")
 
 
 def union_tagged(frames: dict[str, DataFrame], tag: str = "indicator_name") -> DataFrame:

@@ -16,8 +16,7 @@ def connection():
 
 
 def test_reference_sql_belongs_to_queries():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"sample_month"}
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

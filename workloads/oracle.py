@@ -852,3 +852,10 @@ O["snapshot_end_to_end"] = sql(
     "landed_wide",
     "landed_annual",
 )
+
+_CELLS = ", ".join(f"coalesce({name}, '')" for name in RAW_COLUMNS)
+O["sample_month"] = sql(
+    f"""SELECT {", ".join(RAW_COLUMNS)} FROM raw WHERE SOURCE_MONTH = '1997-06'
+    ORDER BY md5(concat_ws('|', '7', {_CELLS})) LIMIT 500""",
+    "raw",
+)
