@@ -23,7 +23,7 @@ def plan(df):
 
 
 QUICK = sorted(
-    set(entry_points.queries())
+    set(entry_points.QUERIES)
     - {"trips_end_to_end", "gated_publish", "run_log", "stream_landing", "append_sink"}
     - {"snapshot_end_to_end", "indicators_end_to_end"}
 )
@@ -31,7 +31,7 @@ QUICK = sorted(
 
 @pytest.mark.parametrize("name", QUICK)
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entry_points.queries()[name](spark, FOLDER))
+    text = plan(entry_points.QUERIES[name](spark, FOLDER))
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "PythonUDF"):
         assert operator not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -46,6 +46,19 @@ def test_suite_reads_the_table_once(spark, tmp_path):
     assert text.count("Exchange") == 1
 
 
+def test_contract_with_references_reads_the_table_once(spark, tmp_path):
+    staged = cast_trips(raw_trips(spark, {}, {}))
+    staged.write.parquet(str(tmp_path / "facts_here"))
+    facts = spark.read.parquet(str(tmp_path / "facts_here"))
+    contract = contracts.staged_trips_contract(["2025-11"])
+    assert len(contract.references) == 2 and not contract.unique
+    zones = spark.createDataFrame([(1,), (None,), (1,)], "location_id int")
+    report = quality.run_contract(facts, contract, {"zones": zones})
+    assert plan(report).count("facts_here") == 1
+    found = {(r.check_kind, r.column_name): r.n_failing for r in report.collect()}
+    assert found["relationship", "pickup_location_id"] == 0
+
+
 def test_month_filter_reaches_the_scan(spark):
     facts = read_facts(
         spark,
