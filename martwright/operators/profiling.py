@@ -13,7 +13,7 @@ from martwright.operators.quantiles import band_edges, quantiles_of_counts, valu
 
 
 def null_shares(df: DataFrame) -> DataFrame:
-    """Percent of NULL cells per column."""
+    """Type of every column and its percent of NULL cells."""
     counts = df.agg(
         F.count("*").alias("_rows"), *[F.count(name).alias(name) for name in df.columns]
     )
@@ -23,7 +23,11 @@ def null_shares(df: DataFrame) -> DataFrame:
             for name in df.columns
         ]
     )
-    return shares.unpivot([], df.columns, "column_name", "null_percentage")
+    long = shares.unpivot([], df.columns, "column_name", "null_percentage")
+    types = F.create_map(*[F.lit(x) for name, kind in df.dtypes for x in (name, kind)])
+    return long.select(
+        "column_name", types[F.col("column_name")].alias("column_type"), "null_percentage"
+    )
 
 
 def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -25,7 +25,7 @@ from martwright.operators.quality import (
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import contracts, marts
 from martwright.schemas import RUN_LOG, STAGED_TRIPS
-from martwright.session import tune
+from martwright.session import tune, work_scope
 from martwright.sources.sinks import (
     full_refresh,
     load_month,
@@ -236,6 +236,24 @@ def run_month(
     in. Marts that break their own contract are logged too. The final row is
     logged whatever happens.
     """
+    with work_scope(spark):
+        return _run_month(
+            spark, raw, raw_zones, folder, month, run_id, checks, settings, contract, replace
+        )
+
+
+def _run_month(
+    spark: SparkSession,
+    raw: DataFrame,
+    raw_zones: DataFrame,
+    folder: str,
+    month: str,
+    run_id: str,
+    checks: Sequence[Check],
+    settings: TripSettings | None,
+    contract: Contract | None,
+    replace: bool,
+) -> bool:
     tune(spark)
     settings = settings or TripSettings()
     tables = TripTables(folder)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,29 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+_scopes: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/work/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_folder(spark).rstrip('/')}/work/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(folder)
+    return f"{folder}/{name}"
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Drop the work tables made inside when the block ends.
+
+    For jobs that have written all their results by then: a DataFrame that still reads
+    such a table cannot be used afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for folder in _scopes.pop():
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

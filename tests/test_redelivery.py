@@ -43,3 +43,10 @@ def test_a_rerun_with_other_limits_equals_a_fresh_build(spark, tmp_path):
     assert spark.read.parquet(durations).count() == 2
     run(spark, str(tmp_path / "a"), raw, "r2", settings=narrow)
     assert spark.read.parquet(durations).count() == 0
+
+
+def test_a_run_leaves_no_work_tables(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("martwright.session.shared_folder", lambda spark: str(shared))
+    assert run(spark, str(tmp_path / "t"), delivery(spark, MONTH, ("2025-11-05", "10.0")), "r1")
+    assert (shared / "work").is_dir() and not list((shared / "work").iterdir())

@@ -536,7 +536,7 @@ RAW_COLUMNS = """VENDORID TPEP_PICKUP_DATETIME TPEP_DROPOFF_DATETIME PASSENGER_C
     CBD_CONGESTION_FEE SOURCE_MONTH""".split()
 O["null_profile"] = sql(
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name,
+        f"""SELECT '{c}' AS column_name, 'string' AS column_type,
             {rounded(f"((count(*) - count({c})) * 100 / count(*))", 2)} AS null_percentage FROM raw"""
         for c in RAW_COLUMNS
     ),
@@ -859,3 +859,8 @@ O["sample_month"] = sql(
     ORDER BY md5(concat_ws('|', '7', {_CELLS})) LIMIT 500""",
     "raw",
 )
+
+_TOP_OF_BOROUGH = """WHERE pickup_borough = 'ASIA' AND pickup_zone IN (
+    SELECT pickup_zone FROM zone_hours WHERE pickup_borough = 'ASIA' GROUP BY pickup_zone
+    ORDER BY sum(total_trips) DESC, pickup_zone LIMIT 3) GROUP BY"""
+O["heatmap_borough_top"] = sql(CTES["grid"].replace("GROUP BY", _TOP_OF_BOROUGH), "zone_hours")

@@ -568,6 +568,12 @@ def heatmap_pivot(spark, sf):
     return reshape.hour_grid(serving.choose(_zone_hours(spark, sf), "pickup_borough", ["ASIA"]))
 
 
+@query
+def heatmap_borough_top(spark, sf):
+    zone_hours = serving.choose(_zone_hours(spark, sf), "pickup_borough", ["ASIA"])
+    return serving.only_top_zones(reshape.hour_grid(zone_hours), zone_hours, 3)
+
+
 @query
 def heatmap_long(spark, sf):
     return reshape.hour_cells(reshape.hour_grid(_zone_hours(spark, sf)))
