@@ -16,14 +16,13 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from martwright.llm.common import map_batches, small_batches, stored, texts_of
 
 CAPACITY = 4096
 OPEN_BINS = 256
 PIECES_PER_TASK = 200_000
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 400_000
 
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
@@ -170,13 +169,12 @@ def best_fit(
 
     Pieces are dealt evenly to tasks of about ``pieces_per_task``, each of which packs
     what it gets, so that few bins are left open in the end whatever the input size.
-    An empty input gives no rows. The order inside a task follows a hash of the whole
-    row, so a task that runs again packs the same.
+    Only numbers and lengths go there; the places join the pieces again afterwards.
+    An empty input gives no rows. The order inside a task follows a hash of the piece's
+    number, so a task that runs again packs the same.
     """
-    fixed = stored(pieces, "pieces")
-    tasks = -(-fixed.count() // pieces_per_task)
-    places = [StructField("sequence_id", LongType()), StructField("offset", LongType())]
-    schema = StructType([*fixed.schema.fields, *places])
+    fixed = stored(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    tasks = max(1, -(-fixed.count() // pieces_per_task))
     small_batches(pieces.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,14 +182,14 @@ def best_fit(
 
         task, bins = TaskContext.get().partitionId(), BestFit(capacity, open_bins)
         for batch in batches:
-            placed = [bins.put(n) for n in batch.column("length").to_pylist()]
+            placed = [bins.put(n) for n in batch.column(1).to_pylist()]
             numbers = pa.array([(task << 40) + number for number, _ in placed], pa.int64())
             offsets = pa.array([offset for _, offset in placed], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, numbers, offsets], names=[*batch.schema.names, "sequence_id", "offset"]
+                [batch.column(0), numbers, offsets], names=["_row", "sequence_id", "offset"]
             )
 
-    keys = [c for c in fixed.columns if c != "ids"]
-    mixed = fixed.withColumn("_order", F.xxhash64(*keys))
-    dealt = mixed.repartition(max(1, tasks), "_order").sortWithinPartitions("_order", *keys)
-    return dealt.drop("_order").mapInArrow(pack, schema)
+    mixed = fixed.select("_row", "length", F.xxhash64("_row").alias("_order"))
+    dealt = mixed.repartition(tasks, "_order").sortWithinPartitions("_order", "_row")
+    places = dealt.drop("_order").mapInArrow(pack, "_row long, sequence_id long, offset long")
+    return fixed.join(places, "_row").drop("_row")
