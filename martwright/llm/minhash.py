@@ -3,7 +3,8 @@
 Each document's set of word shingles is hashed once into bins; empty bins borrow from
 random filled ones (optimal densification). Bands of bins make buckets, each of which
 proposes a star of pairs around one center. Proposed pairs are confirmed on the full
-sets, and confirmed links form components.
+sets, and confirmed links form components. Buckets that some stars do not settle are
+finished by a join of their members' rarest shingles, which proposes every similar pair.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import map_batches, small_batches, stored, texts_of
@@ -24,6 +25,7 @@ BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 KEPT_WORDS = 500_000
 #: Rounds of stars around other centers, for members that the first center leaves out.
+#: Buckets that are open after them are finished by their members' rare shingles.
 CENTER_ROUNDS = 2
 
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -155,28 +157,88 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return ordered.mapInArrow(confirm, f"a {kind}, b {kind}").distinct()
 
 
-def _stars(entries: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each bucket's center with its members, over buckets of two and more.
-
-    The center is the smallest id at first, and in later turns the smallest hash of id and
-    turn. Only the center meets the others, so pairs stay within the number of entries.
-    """
-    order = F.col("member") if turn == 0 else F.xxhash64("member", F.lit(turn))
+def _centers(entries: DataFrame, turn: int) -> DataFrame:
+    """The center of each bucket of two and more: the smallest id at first, and in later
+    turns the smallest hash of id, band and turn."""
+    order = F.col("member") if turn == 0 else F.xxhash64("member", "band", F.lit(turn))
     center = F.struct(order.alias("order"), F.col("member").alias("center"), F.col("member_key").alias("center_key"))
-    centers = (
+    return (
         entries.groupBy("band")
         .agg(F.min(center).alias("c"), F.min("member").alias("low"), F.max("member").alias("high"))
         .where("low != high")
         .select("band", "c.center", "c.center_key")
     )
+
+
+def _stars(entries: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each bucket's center with its members.
+
+    Only the center meets the others, so pairs stay within the number of entries.
+    """
     return (
-        entries.join(centers, "band")
+        entries.join(_centers(entries, turn), "band")
         .where("member != center")
         .groupBy("center", "member", "center_key", "member_key")
         .agg(F.count("*").alias("shared"))
     )
 
 
+def _open(entries: DataFrame, turn: int, labels: DataFrame) -> DataFrame:
+    """Entries whose bucket can still hold an unknown link after this turn.
+
+    The center has met all the others and leaves its bucket; a bucket whose other members
+    are of one component is settled.
+    """
+    rest = entries.join(_centers(entries, turn).drop("center_key"), "band").where("member != center").drop("center")
+    rest = _labelled(rest, labels, "member")
+    mixed = rest.groupBy("band").agg(F.min("member_in").alias("low"), F.max("member_in").alias("high"))
+    mixed = mixed.where("low != high").select("band")
+    return rest.join(mixed, "band", "left_semi").select("member", "member_key", "band")
+
+
+def _rare_pairs(entries: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs of the entries' members that can be similar enough, between components.
+
+    The shingles of a set are ranked from the rarest on. In a similar pair, what follows
+    the first common shingle in either set must hold the whole overlap, so that shingle
+    ranks low in both, and lowest in the smaller one; what many texts share ranks high.
+    """
+    members = entries.select("member", "member_key").distinct()
+    members = stored(
+        _labelled(members, labels, "member").withColumn("number", F.monotonically_increasing_id()), "members"
+    )
+
+    def shingled(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(t) for t in texts_of(batch.column(2))]
+        kept = [i for i, s in enumerate(sets) if set_key(s) == batch.column(1)[i].as_py()]
+        numbers = batch.column(0).take(pa.array(kept, pa.int64()))
+        found = pa.array([sets[i].view(np.int64) for i in kept], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([numbers, found], names=["number", "shingles"])
+
+    told = members.join(texts.withColumnRenamed("id", "member"), "member").select("number", "member_key", "text")
+    sets = map_batches(told, shingled, "number long, shingles array<long>").groupBy("number")
+    sets = stored(sets.agg(F.first("shingles").alias("shingles")), "sets")
+    each = sets.select("number", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("number").orderBy("often", "shingle")).cast("long")
+    ranked = each.join(often, "shingle").withColumn("rank", rank).where("often > 1")
+    ranked = ranked.where(f"100 * (n - rank + 1) >= {PERCENT} * n").select("number", "n", "shingle", "rank")
+    told = members.select("number", "member", "member_key", "member_in")
+    prefixes = stored(ranked.join(told, "number"), "prefixes")
+    x = prefixes.where(f"{100 + PERCENT} * (n - rank + 1) >= {2 * PERCENT} * n").select(
+        "shingle", F.col("member").alias("center"), F.col("member_key").alias("center_key"),
+        F.col("member_in").alias("center_in"), F.col("number").alias("x_number"), F.col("n").alias("x_n"),
+        F.col("rank").alias("x_rank"),
+    )
+    return (
+        prefixes.join(x, "shingle")
+        .where("member_in != center_in and (x_n < n or x_n = n and x_number < number)")
+        .where(f"{100 + PERCENT} * (1 + least(n - rank, x_n - x_rank)) >= {PERCENT} * (n + x_n)")
+        .select("center", "center_key", "member", "member_key")
+        .distinct()
+    )
+
+
 def _labelled(rows: DataFrame, labels: DataFrame, *names: str) -> DataFrame:
     """``rows`` with the component of each named id beside it, the id itself without one."""
     for name in names:
@@ -231,6 +293,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         links = stored(_confirmed(between.select("center", "center_key", "member", "member_key"), texts), "links")
         if links.limit(1).count():
             labels = _joined(labels, links)
+        entries = stored(_open(entries, turn, labels), "open")
+        if not entries.limit(1).count():
+            break
+    else:
+        links = stored(_confirmed(_rare_pairs(entries, texts, labels), texts), "links")
+        if links.limit(1).count():
+            labels = _joined(labels, links)
     named = nodes.join(labels.select(F.col("id").alias("node"), "component"), "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component")
     )

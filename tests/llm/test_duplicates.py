@@ -51,6 +51,19 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert all(x["kept"] == (i == group[i]) for i, x in found.items())
 
 
+def test_pairs_on_a_shared_template_are_all_linked(spark):
+    """Groups 0.69 alike through a template, each a pair at 0.78: no center links most of them."""
+    rows = []
+    for g in range(120):
+        shared, words = [f"t{k}" for k in range(250)], [f"g{g}x{k}" for k in range(18)]
+        for i in (g, 1000 + (g * 37) % 120):
+            rows.append((i, " ".join(shared[:100] + words + [f"d{i}x{k}" for k in range(32)] + shared[100:])))
+    group, _ = brute_components(rows)
+    assert len(set(group.values())) == 120
+    found = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert found == group
+
+
 def test_densification_fills_every_bin_alike():
     values = minhash.bins(minhash.shingle_set("a b c d e f"))
     assert len(values) == minhash.BINS and len(set(values.tolist())) == 2
