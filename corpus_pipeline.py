@@ -37,13 +37,23 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Repeated rows of a kept id stay once. Rows with a null id stay.
+    Repeated rows of a kept id and text stay once; different texts under one id are
+    different documents. Rows with a null id stay.
     """
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    with_id = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    judged = minhash.judged(docs).where("kept and doc_id is not null")
+    kept = stored(judged.select("doc_id", "set_key").distinct(), "kept")
+    with_id = docs.where("doc_id is not null").join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
     repeated = with_id.groupBy("doc_id").count().where("count > 1").select("doc_id")
     once = with_id.join(repeated, "doc_id", "left_anti")
-    first = with_id.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    keyed = minhash.with_set_keys(with_id.join(repeated, "doc_id", "left_semi").select(*COLUMNS), name="own_key")
+    own = (keyed["doc_id"] == kept["doc_id"]) & keyed["own_key"].eqNullSafe(kept["set_key"])
+    # Texts of one id and set count as one, texts without words if they are equal.
+    first = (
+        keyed.join(kept, own, "left_semi")
+        .groupBy("doc_id", F.coalesce("own_key", "text"))
+        .agg(F.min(F.struct(*COLUMNS)).alias("first"))
+        .select("first.*")
+    )
     nameless = docs.where("doc_id is null")
     return once.unionByName(first).unionByName(nameless).select(*COLUMNS)
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from martwright.llm.common import map_batches, small_batches, stored, texts_of
 from martwright.llm.components import components
@@ -122,51 +123,59 @@ def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
+def with_set_keys(docs: DataFrame, text: str = "text", name: str = "set_key") -> DataFrame:
+    """``docs`` with the key of each text's set beside it, null without words."""
+    names, place = docs.columns, docs.columns.index(text)
+
+    def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = map(shingle_set, texts_of(batch.column(place)))
+        keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.string())
+        return pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*names, name])
+
+    return map_batches(docs, keyed, StructType([*docs.schema.fields, StructField(name, StringType())]))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
     The texts of the members go to their centers by two joins; rows of one center arrive
-    one after the other, so its set is made once per task. A text with another set than
-    the pair was proposed for, under a repeated id, is passed over.
+    one after the other, so its set is made once per task.
     """
     small_batches(pairs.sparkSession)
-    members = pairs.join(texts.select(F.col("id").alias("member"), F.col("text").alias("member_text")), "member")
-    both = members.join(texts.select(F.col("id").alias("center"), F.col("text").alias("center_text")), "center")
+    both = pairs.select("center", "member")
+    for name in ("member", "center"):
+        told = texts.select(F.col("set_key").alias("_key"), F.col("text").alias(f"{name}_text"))
+        both = both.join(told, F.col(f"{name}.set_key") == F.col("_key")).drop("_key")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, center = None, np.empty(0, np.uint64)
         for batch in batches:
             keep = []
             for at in range(batch.num_rows):
-                key = batch.column(4)[at].as_py()
+                key = batch.column(2)[at].as_py()
                 if key != last:
                     last, center = key, shingle_set(key)
-                member = shingle_set(batch.column(5)[at].as_py())
+                member = shingle_set(batch.column(3)[at].as_py())
                 common = len(np.intersect1d(center, member, assume_unique=True))
-                similar = 100 * common >= PERCENT * (len(center) + len(member) - common)
-                keep.append(
-                    similar
-                    and set_key(center) == batch.column(2)[at].as_py()
-                    and set_key(member) == batch.column(3)[at].as_py()
-                )
+                keep.append(100 * common >= PERCENT * (len(center) + len(member) - common))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
 
-    kind = pairs.schema["center"].dataType.simpleString()
-    ordered = both.select("center", "member", "center_key", "member_key", "center_text", "member_text")
-    return ordered.mapInArrow(confirm, f"a {kind}, b {kind}").distinct()
+    kind = pairs.schema["center"].dataType
+    ordered = both.select("center", "member", "center_text", "member_text")
+    return ordered.mapInArrow(confirm, StructType([StructField("a", kind), StructField("b", kind)])).distinct()
 
 
 def _centers(entries: DataFrame, turn: int) -> DataFrame:
-    """The center of each bucket of two and more: the smallest id at first, and in later
-    turns the smallest hash of id, band and turn."""
+    """The center of each bucket of two and more: the smallest node at first, and in later
+    turns the smallest hash of node, band and turn."""
     order = F.col("member") if turn == 0 else F.xxhash64("member", "band", F.lit(turn))
-    center = F.struct(order.alias("order"), F.col("member").alias("center"), F.col("member_key").alias("center_key"))
+    center = F.struct(order.alias("order"), F.col("member").alias("center"))
     return (
         entries.groupBy("band")
         .agg(F.min(center).alias("c"), F.min("member").alias("low"), F.max("member").alias("high"))
         .where("low != high")
-        .select("band", "c.center", "c.center_key")
+        .select("band", "c.center")
     )
 
 
@@ -178,7 +187,7 @@ def _stars(entries: DataFrame, turn: int) -> DataFrame:
     return (
         entries.join(_centers(entries, turn), "band")
         .where("member != center")
-        .groupBy("center", "member", "center_key", "member_key")
+        .groupBy("center", "member")
         .agg(F.count("*").alias("shared"))
     )
 
@@ -189,11 +198,11 @@ def _open(entries: DataFrame, turn: int, labels: DataFrame) -> DataFrame:
     The center has met all the others and leaves its bucket; a bucket whose other members
     are of one component is settled.
     """
-    rest = entries.join(_centers(entries, turn).drop("center_key"), "band").where("member != center").drop("center")
+    rest = entries.join(_centers(entries, turn), "band").where("member != center").drop("center")
     rest = _labelled(rest, labels, "member")
     mixed = rest.groupBy("band").agg(F.min("member_in").alias("low"), F.max("member_in").alias("high"))
     mixed = mixed.where("low != high").select("band")
-    return rest.join(mixed, "band", "left_semi").select("member", "member_key", "band")
+    return rest.join(mixed, "band", "left_semi").select("member", "band")
 
 
 def _rare_pairs(entries: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -203,38 +212,32 @@ def _rare_pairs(entries: DataFrame, texts: DataFrame, labels: DataFrame) -> Data
     the first common shingle in either set must hold the whole overlap, so that shingle
     ranks low in both, and lowest in the smaller one; what many texts share ranks high.
     """
-    members = entries.select("member", "member_key").distinct()
+    members = entries.select("member").distinct()
     members = stored(
         _labelled(members, labels, "member").withColumn("number", F.monotonically_increasing_id()), "members"
     )
 
     def shingled(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t) for t in texts_of(batch.column(2))]
-        kept = [i for i, s in enumerate(sets) if set_key(s) == batch.column(1)[i].as_py()]
-        numbers = batch.column(0).take(pa.array(kept, pa.int64()))
-        found = pa.array([sets[i].view(np.int64) for i in kept], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([numbers, found], names=["number", "shingles"])
-
-    told = members.join(texts.withColumnRenamed("id", "member"), "member").select("number", "member_key", "text")
-    sets = map_batches(told, shingled, "number long, shingles array<long>").groupBy("number")
-    sets = stored(sets.agg(F.first("shingles").alias("shingles")), "sets")
+        found = pa.array([shingle_set(t).view(np.int64) for t in texts_of(batch.column(1))], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([batch.column(0), found], names=["number", "shingles"])
+
+    told = members.select("number", "member.set_key").join(texts, "set_key").select("number", "text")
+    sets = stored(map_batches(told, shingled, "number long, shingles array<long>"), "sets")
     each = sets.select("number", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("often"))
     rank = F.row_number().over(Window.partitionBy("number").orderBy("often", "shingle")).cast("long")
     ranked = each.join(often, "shingle").withColumn("rank", rank).where("often > 1")
     ranked = ranked.where(f"100 * (n - rank + 1) >= {PERCENT} * n").select("number", "n", "shingle", "rank")
-    told = members.select("number", "member", "member_key", "member_in")
-    prefixes = stored(ranked.join(told, "number"), "prefixes")
+    prefixes = stored(ranked.join(members, "number"), "prefixes")
     x = prefixes.where(f"{100 + PERCENT} * (n - rank + 1) >= {2 * PERCENT} * n").select(
-        "shingle", F.col("member").alias("center"), F.col("member_key").alias("center_key"),
-        F.col("member_in").alias("center_in"), F.col("number").alias("x_number"), F.col("n").alias("x_n"),
-        F.col("rank").alias("x_rank"),
+        "shingle", F.col("member").alias("center"), F.col("member_in").alias("center_in"),
+        F.col("number").alias("x_number"), F.col("n").alias("x_n"), F.col("rank").alias("x_rank"),
     )
     return (
         prefixes.join(x, "shingle")
         .where("member_in != center_in and (x_n < n or x_n = n and x_number < number)")
         .where(f"{100 + PERCENT} * (1 + least(n - rank, x_n - x_rank)) >= {PERCENT} * (n + x_n)")
-        .select("center", "center_key", "member", "member_key")
+        .select("center", "member")
         .distinct()
     )
 
@@ -257,40 +260,32 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.unionByName(new), "labels")
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id``, n_shingles, component_id and kept.
+def judged(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``near_duplicates`` with the key of each row's set in ``set_key``.
 
-    Documents are linked when at least three quarters of their joint shingles are common.
-    Those with equal sets are one node from the start, so copies cost no pairs. A text that
-    is null or without words has no shingles and is linked with nothing. Rows with a null
-    id are linked with nothing either: their component is null and they are kept. Repeated
-    rows get equal results; rows that share an id but not the text have the component of
-    their own text. ``kept`` marks the smallest id of a component.
+    The key is null for rows that are linked with nothing. A node is a set with the
+    smallest id that holds it, so different texts under one id stay different nodes.
     """
     linked = F.when(F.col("id").isNotNull(), F.col("set_key"))
     signed = stored(signatures(docs, id, text).withColumn("set_key", linked), "signatures")
     linkable = signed.where("set_key is not null")
-    nodes = stored(
-        linkable.groupBy("set_key").agg(F.min("id").alias("node"), F.min_by("bands", "id").alias("bands")), "nodes"
-    )
-    entries = stored(
-        nodes.select(F.col("node").alias("member"), F.col("set_key").alias("member_key"), F.explode("bands").alias("band")),
-        "entries",
-    )
+    nodes = linkable.groupBy("set_key").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"))
+    nodes = stored(nodes.select(F.struct("id", "set_key").alias("node"), "bands"), "nodes")
+    entries = stored(nodes.select(F.col("node").alias("member"), F.explode("bands").alias("band")), "entries")
     stars = stored(_stars(entries, 0), "pairs")
     # Only texts of documents that share a bucket are ever compared.
-    involved = stars.select(F.col("member").alias("id")).unionByName(stars.select(F.col("center").alias("id")))
+    involved = stars.select("member.id").unionByName(stars.select("center.id"))
     told = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    texts = stored(told.join(involved.distinct(), "id", "left_semi"), "texts")
-    closest = F.max_by(F.struct("center", "center_key"), F.struct("shared", F.xxhash64("center")))
-    first = stars.groupBy("member", "member_key").agg(closest.alias("c"))
-    links = _confirmed(first.select("c.center", "c.center_key", "member", "member_key"), texts)
-    labels = components(links)
+    told = with_set_keys(told.join(involved.distinct(), "id", "left_semi").select("text"))
+    texts = stored(told.where("set_key is not null").groupBy("set_key").agg(F.min("text").alias("text")), "texts")
+    closest = F.max_by("center", F.struct("shared", F.xxhash64("center")))
+    first = stars.groupBy("member").agg(closest.alias("center"))
+    labels = components(_confirmed(first, texts))
     # One link settles most members; the other pairs matter only between components.
     for turn in range(CENTER_ROUNDS + 1):
         pairs = stars if turn == 0 else _stars(entries, turn)
         between = _labelled(pairs, labels, "center", "member").where("center_in != member_in")
-        links = stored(_confirmed(between.select("center", "center_key", "member", "member_key"), texts), "links")
+        links = stored(_confirmed(between, texts), "links")
         if links.limit(1).count():
             labels = _joined(labels, links)
         entries = stored(_open(entries, turn, labels), "open")
@@ -301,11 +296,27 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         if links.limit(1).count():
             labels = _joined(labels, links)
     named = nodes.join(labels.select(F.col("id").alias("node"), "component"), "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component")
+        "node.set_key", F.coalesce("component", "node").alias("component")
     )
+    smallest = (F.col("id") == F.col("component.id")) & (F.col("set_key") == F.col("component.set_key"))
     return signed.join(named, "set_key", "left").select(
         F.col("id").alias(id),
         "n_shingles",
-        F.coalesce("component", "id").alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
+        "set_key",
+        F.coalesce("component.id", "id").alias("component_id"),
+        F.coalesce(smallest, F.lit(True)).alias("kept"),
     )
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: ``id``, n_shingles, component_id and kept.
+
+    Documents are linked when at least three quarters of their joint shingles are common.
+    Those with equal sets are one node from the start, so copies cost no pairs. A text that
+    is null or without words has no shingles and is linked with nothing. Rows with a null
+    id are linked with nothing either: their component is null and they are kept. Repeated
+    rows get equal results; rows that share an id but not the text have the component of
+    their own text. ``kept`` marks the smallest id of a component, and of different texts
+    under that id in one component the one with the smallest key.
+    """
+    return judged(docs, id, text).select(id, "n_shingles", "component_id", "kept")

@@ -2,7 +2,7 @@ import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from martwright.llm import decontaminate
+from martwright.llm import decontaminate, minhash
 from tests.llm.helpers import DOCS
 from tests.llm.test_duplicates import brute_components, brute_removed
 
@@ -61,6 +61,16 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert len({(r["sequence_id"], r["offset"]) for r in packed}) == len(packed)
 
 
+def test_different_texts_under_one_id_are_different_documents(spark):
+    near = text_of(1).replace("tells", "says", 1)
+    rows = [(1, near), (5, text_of(1)), (5, text_of(2)), (5, text_of(2)), (6, text_of(2)), (7, text_of(3)), (7, text_of(3) + " "), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    found = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()}
+    assert {(i, c, k) for i, _, c, k in found} == {(1, 1, True), (5, 1, False), (5, 5, True), (6, 5, False), (7, 7, True), (8, 8, True)}
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [(1, near), (5, text_of(2)), (7, text_of(3)), (8, "")]
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     given(spark).limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
