@@ -8,6 +8,7 @@ Myers' bit-parallel edit distance.
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -17,12 +18,15 @@ from pyspark.sql import functions as F
 
 from martwright.llm.common import small_batches, texts_of
 
-#: Edits allowed, as a share of an item's characters, and the shortest item looked for.
+#: Edits allowed, as a share of an item's characters, and the shortest item that may have
+#: any. Shorter ones are looked for as they are, between word borders.
 ERROR_RATE = 0.06
 MIN_CHARS = 30
 #: Characters of items searched for in one pass over the documents.
 BLOCK_CHARS = 2_000_000
 WORD = re.compile(r"\S+")
+#: Characters of scripts that do not set words apart.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def lowered(text: str) -> str:
@@ -36,6 +40,18 @@ def normal(text: str) -> str:
     return " ".join(lowered(text).split())
 
 
+def _in_word(c: str) -> bool:
+    return (c.isalnum() or unicodedata.category(c)[0] == "M") and not UNSPACED.match(c)
+
+
+def between_borders(text: str, a: int, b: int) -> bool:
+    """Whether neither end of ``text[a:b]`` lies inside a word."""
+    return not (
+        (a > 0 and _in_word(text[a - 1]) and _in_word(text[a]))
+        or (b < len(text) and _in_word(text[b - 1]) and _in_word(text[b]))
+    )
+
+
 class Offsets:
     """Places of the normal form in the text it was made from."""
 
@@ -116,7 +132,8 @@ class Search:
     def __init__(self, items: list[tuple[object, str]], rate: float):
         import ahocorasick
 
-        self.items = [(id, Pattern(text, max(1, int(len(text) * rate)))) for id, text in items]
+        budgets = [max(1, int(len(text) * rate)) if len(text) >= MIN_CHARS else 0 for _, text in items]
+        self.items = [(id, Pattern(text, budget)) for (id, text), budget in zip(items, budgets)]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, pattern) in enumerate(self.items):
             for offset, piece in pattern.pieces():
@@ -146,19 +163,28 @@ class Search:
                 if start is not None:
                     first = last = start
 
+    def passages(self, text: str) -> Iterator[tuple[int, tuple[int, int, int]]]:
+        """Item number, and distance, start and end in ``text`` of passages within its budget."""
+        for number, a, b in self.windows(text):
+            pattern = self.items[number][1]
+            if not pattern.budget:
+                # The only piece is the item itself, so the window is a copy of it.
+                if between_borders(text, a, b):
+                    yield number, (0, a, b)
+            elif match := pattern.find(text[a:b]):
+                yield number, (match[0], match[1] + a, match[2] + a)
+
     def matches(self, text: str) -> list[tuple[object, int, int, int]]:
         """Item id, distance, start and end in ``text`` of each item's nearest passage."""
         if not self.items:
             return []
         found: dict[int, tuple[int, int, int]] = {}
-        for number, a, b in self.windows(text):
-            if match := self.items[number][1].find(text[a:b]):
-                placed = match[0], match[1] + a, match[2] + a
-                found[number] = min(found.get(number, placed), placed)
+        for number, placed in self.passages(text):
+            found[number] = min(found.get(number, placed), placed)
         return [(self.items[n][0], *match) for n, match in sorted(found.items())]
 
     def any_match(self, text: str) -> bool:
-        return any(self.items[n][1].find(text[a:b]) for n, a, b in self.windows(text)) if self.items else False
+        return any(True for _ in self.passages(text)) if self.items else False
 
 
 _latest: list[tuple[list, float, Search]] = []
@@ -182,7 +208,7 @@ def _blocks(items: DataFrame, id: str, text: str) -> Iterator[list[tuple[object,
     for number in range(blocks):
         part = told.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == number)
         rows = [(r["id"], normal(r["text"])) for r in part.orderBy("id", "text").collect()]
-        yield [(id, text) for id, text in rows if len(text) >= MIN_CHARS]
+        yield [(id, text) for id, text in rows if text]
 
 
 def find_leaks(
@@ -197,8 +223,9 @@ def find_leaks(
 
     Texts are compared in lower case with runs of white space as one blank; ``start`` and
     ``end`` are characters of the document's own text. An item may differ by ``rate`` of
-    its characters, at least one. Items under ``MIN_CHARS`` characters, empty and null
-    ones are not looked for; null texts hold nothing. Repeated rows give repeated rows.
+    its characters, at least one. Items under ``MIN_CHARS`` characters are looked for
+    without a difference and between word borders; empty and null ones are not looked for.
+    Null texts hold nothing. Repeated rows give repeated rows.
     The items are searched for in blocks, each of which reads the documents once.
     """
     spark = docs.sparkSession

@@ -215,6 +215,20 @@ def test_leaks_are_found_within_the_budget(spark):
     assert left.where(F.col("doc_id").isin(*by)).count() == 0 and left.count() == len(rows) - len(by)
 
 
+def test_short_items_are_found_whole_between_word_borders(spark):
+    items = spark.createDataFrame([(1, "Who wrote  Faust?"), (2, "art"), (3, "谁写了它"), (4, " ")], "item_id long, text string")
+    rows = [
+        (0, f"So: who\nwrote FAUST? {LINE}"), (1, "who wrote fausts?"), (2, "xwho wrote faust?"), (3, "a cart, then: Art!"),
+        (4, "party cart"), (5, "他问谁写了它吗"), (6, "who wrote faust"),
+    ]
+    found = decontaminate.find_leaks(docs(spark, rows), items).collect()
+    texts = {(x["doc_id"], x["item_id"]): dict(rows)[x["doc_id"]][x["start"] : x["end"]] for x in found}
+    assert texts == {(0, 1): "who\nwrote FAUST?", (3, 2): "Art", (5, 3): "谁写了它"}
+    assert all(x["distance"] == 0 for x in found)
+    left = decontaminate.without_leaks(docs(spark, rows), items).collect()
+    assert {x["doc_id"] for x in left} == {1, 2, 4, 6}
+
+
 def test_leaks_in_blocks_and_awkward_rows(spark, monkeypatch):
     items = spark.createDataFrame([(i, f"{i} {ITEM}") for i in range(6)], "item_id long, text string")
     whole = decontaminate.find_leaks(docs(spark, [(1, f"3 {ITEM}")]), items).collect()
