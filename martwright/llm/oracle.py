@@ -159,3 +159,44 @@ select doc_id, octet_length(b)::bigint as n_bytes,
     coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
     sha256(coalesce(kept, b)) as kept_sha256
 from texts left join left_over using (doc_id) left join totals using (doc_id)"""
+
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+ORACLE_SQL["op11_phrase_collocations"] = rf"""
+with pieces as (
+    select lang, regexp_extract_all(p, '[^\x20\x09]+') as w
+    from (select coalesce(lang, 'und') as lang,
+            unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) as p
+          from documents)),
+grams as (
+    select lang, k as size, unnest(list_transform(
+        range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+    from pieces, (values (1), (2), (3)) as sizes(k) where len(w) >= k),
+counts as (select lang, size, phrase, count(*) as f from grams group by all),
+totals as (select lang, sum(f) as n from counts where size = 1 group by lang),
+candidates as (
+    select lang, size, phrase, f as a, string_split(phrase, ' ') as w
+    from counts where size > 1 and f >= 10),
+cuts as (
+    select c.lang, c.phrase, c.size, a, k, x.f as l, y.f as r,
+        (1000000::hugeint * a * a) // (x.f::hugeint * y.f) as score
+    from (select *, unnest(range(1, size)) as k from candidates) c
+    join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:k], ' ')
+    join counts y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1:], ' ')),
+scored as (
+    select lang, phrase, any_value(size) as size, any_value(a) as a,
+        arg_min(l, (score, k)) as l, arg_min(r, (score, k)) as r, min(score) as score
+    from cuts group by lang, phrase),
+inside as (
+    select lang, array_to_string(w[i:i + 1], ' ') as phrase, max(a) as longer
+    from candidates, (values (1), (2)) as places(i) where size = 3 group by all),
+ranked as (
+    select s.*, row_number() over (
+        partition by s.lang order by score desc, a desc, s.phrase) as rank
+    from scored s left join inside i on i.lang = s.lang and i.phrase = s.phrase and s.size = 2
+    where i.longer is null or 100 * i.longer < 50 * a)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r,
+    n::bigint as n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm import (
     chat,
+    collocations,
     decontaminate,
     language_id,
     packing,
@@ -119,3 +120,8 @@ def op3_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.removal_report(table(spark, sf, "documents"))
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"), top=2000, threshold=10, percent=50)
