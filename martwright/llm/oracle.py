@@ -200,3 +200,55 @@ ranked as (
 select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r,
     n::bigint as n, score::bigint as score
 from ranked join totals using (lang) where rank <= 2000"""
+
+ORACLE_SQL["op12_spelling_variants"] = rf"""
+with recursive polynomial as (
+    select list(c order by i) as steps from (
+        select i, list_reduce(range(8),
+            lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as c
+        from range(256) as bytes(i))),
+found as (
+    select doc_id, run, count(*) as times from (
+        select doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as run
+        from documents)
+    group by all),
+coded as (
+    select run, times, list_reduce(
+        flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+            lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [195, unicode(c) - 64] end)),
+        lambda crc, b: xor(crc >> 8, steps[(xor(crc, b) & 255) + 1]), 4294967295) as crc
+    from found, polynomial where length(run) >= 6),
+typed as (
+    select times, case when xor(crc, 4294967295) % 199 = 0
+        then left(run, (xor(crc, 4294967295) % length(run))::int)
+            || substr(run, (xor(crc, 4294967295) % length(run))::int + 2)
+        else run end as word
+    from coded),
+words as (
+    select word, sum(times)::bigint as n from typed
+    where length(word) >= 6 group by word having sum(times) >= 5),
+shorter as (
+    select word, n, i, left(word, i - 1) || substr(word, i + 1) as less
+    from (select *, unnest(range(1, length(word) + 1))::int as i from words)),
+pairs as (
+    select a.word as word, b.word as other from shorter a
+    join shorter b on a.less = b.less and a.i = b.i and a.word <> b.word
+    union
+    select s.word, w.word from shorter s join words w on s.less = w.word
+    union
+    select w.word, s.word from shorter s join words w on s.less = w.word),
+near as (
+    select p.word, count(*) as n_near, arg_min(p.other, (-o.n, p.other)) as best, max(o.n) as best_n
+    from pairs p join words o on o.word = p.other group by p.word),
+forms as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near,
+        case when best_n >= 5 * w.n then best end as form,
+        case when best_n >= 5 * w.n then best_n end as form_n
+    from words w left join near using (word)),
+chains as (
+    select word, form as last, 1 as step from forms where form is not null
+    union all
+    select c.word, f.form, step + 1 from chains c join forms f on f.word = c.last where f.form is not null),
+roots as (select word, arg_max(last, step) as root from chains group by word)
+select word, form, coalesce(root, word) as root, n, n_near::bigint as n_near, form_n::bigint as form_n
+from forms left join roots using (word)"""

@@ -16,6 +16,7 @@ from martwright.llm import (
     packing,
     quality_classifier,
     repeats,
+    spelling,
     warc,
 )
 from martwright.llm.common import stored
@@ -125,3 +126,8 @@ def op9_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"), top=2000, threshold=10, percent=50)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents"))
