@@ -17,6 +17,7 @@ from martwright.llm import (
     quality_classifier,
     repeats,
     spelling,
+    toxicity,
     warc,
 )
 from martwright.llm.common import stored
@@ -131,3 +132,16 @@ def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    known = table(spark, sf, "labels").where(remainder("doc_id", 3) != 1)
+    model = toxicity.fit(docs, known, "toxic")
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
