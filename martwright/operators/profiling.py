@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.measures import exact_sum, plain_mean, ratio_of, round_half_up, value_of
-from martwright.operators.joins import hold
-from martwright.operators.quantiles import band_edges, quantiles_of_counts, value_counts_of
+from martwright.operators.quantiles import exact_quantiles
 
 
 def null_shares(df: DataFrame) -> DataFrame:
@@ -59,39 +58,40 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    measures = df.select([F.col(name).cast("double").alias(name) for name in columns])
-    long = measures.unpivot([], list(columns), "measure", "amount")
-    counts = hold(value_counts_of(long, "measure", "amount"))
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum per column.
 
-    totals = counts.groupBy("measure").agg(
-        F.sum("n").alias("n_rows"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        band_edges().alias("edges"),
-    )
-    summary = hold(totals)
-    quartiles = quantiles_of_counts(
-        counts, summary, "measure", {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    NULL and NaN stay out; a column without other values has no row.
+    """
+    measures = df.select(
+        [F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")).alias(name) for name in columns]
     )
-    means = measures.agg(*[plain_mean(name).alias(name) for name in columns]).first()
+    long = measures.unpivot([], list(columns), "measure", "amount")
+    quartiles = exact_quantiles(long, ["measure"], "amount", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+
+    def told(**aggregates: Callable[[str], Column]) -> Column:
+        """One row per column from one row of aggregates."""
+        lines = [
+            F.struct(F.lit(c).alias("measure"), *[F.col(f"{name}_{c}").alias(name) for name in aggregates])
+            for c in columns
+        ]
+        return F.inline(F.array(*lines))
+
+    first = {"n_rows": F.count, "min": F.min, "max": F.max, "mean": plain_mean}
+    totals = measures.agg(*[f(c).alias(f"{name}_{c}") for name, f in first.items() for c in columns]).first()
     # Squares are taken around the mean, so that they keep their digits.
-    around = [F.pow(F.col(name) - F.lit(means[name]).cast("double"), 2) for name in columns]
-    squares = measures.agg(*[exact_sum(x).alias(name) for x, name in zip(around, columns)])
-    told = [
-        F.struct(
-            F.lit(name).alias("measure"),
-            F.lit(means[name]).cast("double").alias("_mean"),
-            value_of(F.col(name)).alias("_squares"),
-        )
-        for name in columns
-    ]
-    moments = squares.select(F.explode(F.array(*told)).alias("m")).select("m.*")
-    deviation = F.sqrt(F.try_divide(F.col("_squares"), F.col("n_rows") - 1))
-    return summary.join(quartiles, "measure").join(moments, "measure").select(
+    second = {
+        **{name: (lambda c, name=name: F.lit(totals[f"{name}_{c}"])) for name in first},
+        "squares": lambda c: value_of(exact_sum(F.pow(F.col(c) - F.lit(totals[f"mean_{c}"]).cast("double"), 2))),
+    }
+    kinds = {"n_rows": "long", "min": "double", "max": "double", "mean": "double", "squares": "double"}
+    moments = measures.agg(
+        *[f(c).cast(kinds[name]).alias(f"{name}_{c}") for name, f in second.items() for c in columns]
+    ).select(told(**second))
+    deviation = F.sqrt(F.try_divide(F.col("squares"), F.col("n_rows") - 1))
+    return moments.join(quartiles, "measure").select(
         "measure",
         "n_rows",
-        round_half_up(F.col("_mean"), 4).alias("mean"),
+        round_half_up(F.col("mean"), 4).alias("mean"),
         round_half_up(deviation, 4).alias("std"),
         "min",
         *[round_half_up(F.col(name), 4).alias(name) for name in ("q25", "q50", "q75")],

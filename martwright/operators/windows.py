@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.functions.measures import round_half_up
+from martwright.operators.joins import hold
+from martwright.operators.ranges import with_range
 
 # Series quoted in percent, whose change is a difference.
 RATE_SERIES = ["UNRATE", "FEDFUNDS"]
@@ -18,19 +20,23 @@ def previous_value(
     key: str,
     order_by: str | Sequence[str],
     value: str,
-    span: Column,
     name: str = "prev_value",
+    ranges: int | None = None,
 ) -> DataFrame:
     """``lag(value)`` along each series, without a whole series in one task.
 
-    ``span`` cuts the order into stretches of calendar time, so a series that
-    holds most of the rows is still spread over many tasks. The first row of a
-    stretch takes the last value of the nearest earlier stretch, found among one
-    row per series and stretch. Series and stretch are packed in a struct, in which
-    NULL equals NULL, so the rows are joined as the window left them.
+    Key and order are cut into ranges of like size wherever the rows are, so a series
+    that holds most of them, or most of them at one time, is spread over many tasks. The
+    first row of a range takes the last value of the nearest earlier range of its series,
+    found among one row per series and range. Series and range are packed in a struct,
+    in which NULL equals NULL, so the rows are joined as the window left them. ``df`` is
+    read four times, three of them by few columns: ``hold`` it when it is costly.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    grouped = df.withColumn("_stretch", F.struct(F.col(key).alias("key"), span.alias("span")))
+    placed = with_range(df, [key, *order], "_range", ranges)
+    grouped = placed.withColumn(
+        "_stretch", F.struct(F.col(key).alias("key"), F.col("_range").alias("range"))
+    ).drop("_range")
     inside = Window.partitionBy("_stretch").orderBy(*order)
     lagged = grouped.withColumns(
         {"_inside": F.lag(value).over(inside), "_place": F.row_number().over(inside)}
@@ -38,7 +44,8 @@ def previous_value(
 
     ordering = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     last = grouped.groupBy("_stretch").agg(F.max_by(value, ordering).alias("_last"))
-    along = Window.partitionBy("_stretch.key").orderBy("_stretch.span")
+    # No more rows than ranges: these are few however long the series is.
+    along = Window.partitionBy("_stretch.key").orderBy("_stretch.range")
     carried = last.select("_stretch", F.lag("_last").over(along).alias("_carried"))
 
     first_in_stretch = F.col("_place") == 1
@@ -61,9 +68,7 @@ def with_change(series: DataFrame, rate_series: Sequence[str] = tuple(RATE_SERIE
     Observations of one date follow each other in order of series and value.
     """
     order = ["observation_date", "series_id", "value"]
-    lagged = previous_value(
-        series, "indicator_name", order, "value", F.trunc("observation_date", "YEAR")
-    )
+    lagged = previous_value(hold(series), "indicator_name", order, "value")
     is_rate = F.col("series_id").isin(*rate_series)
     return lagged.withColumn(
         "mom_change", change(F.col("value"), F.col("prev_value"), is_rate)

@@ -7,16 +7,17 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from martwright.operators import profiling, quantiles
+from martwright.operators.joins import hold
 
 PROBABILITIES = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "low": 0.0, "high": 1.0}
 
 
-def check(spark, groups, bands):
+def check(spark, groups, **limits):
     rows = [(key, float(v)) for key, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, v double")
     found = {
         row.k: row
-        for row in quantiles.exact_quantiles(df, ["k"], "v", PROBABILITIES, bands=bands).collect()
+        for row in quantiles.exact_quantiles(df, ["k"], "v", PROBABILITIES, **limits).collect()
     }
     assert set(found) == set(groups)
     for key, values in groups.items():
@@ -34,14 +35,45 @@ def test_hot_skewed_and_tiny_groups(spark):
         "signs": [random.choice([-1e9, -1.0, 0.0, 1.0, 1e9]) for _ in range(200)],
         None: [3.0, 1.0, 2.0],
     }
-    check(spark, groups, 64)
-    check(spark, groups, 3)
+    check(spark, groups)
+    check(spark, groups, grid=3, small=20)
 
 
 @settings(max_examples=8, deadline=None)
-@given(values=st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60), bands=st.integers(2, 8))
-def test_any_values(spark, values, bands):
-    check(spark, {"a": values}, bands)
+@given(values=st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60), grid=st.integers(2, 8))
+def test_any_values(spark, values, grid):
+    check(spark, {"a": values}, grid=grid, small=2)
+
+
+def test_each_round_keeps_a_small_part_of_the_rows(spark, monkeypatch):
+    """Held tables of rows shrink by the grid; the first holds no copy of the input."""
+    sizes = []
+
+    def counting(df):
+        held = hold(df)
+        if held.columns == ["group", "path", "value"]:
+            sizes.append(held.count())
+        return held
+
+    monkeypatch.setattr(quantiles, "hold", counting)
+    df = spark.range(200_000).select(F.lit(1).alias("k"), F.xxhash64("id").cast("double").alias("v"))
+    found = quantiles.exact_quantiles(df, ["k"], "v", {"median": 0.5}, grid=16, small=50)
+    values = sorted(row.v for row in df.select("v").collect())
+    assert found.first()["median"] == (values[99_999] + values[100_000]) / 2
+    assert len(sizes) >= 3 and sizes[-1] <= 4 * 50
+    for before, after in zip([200_000, *sizes], sizes):
+        assert after <= before / 4
+
+
+def test_a_value_that_fills_most_rows_ends_the_search(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(quantiles, "hold", lambda df: held.append(hold(df)) or held[-1])
+    df = spark.range(20_000).select(
+        F.lit(1).alias("k"), F.when(F.col("id") % 100 == 0, F.rand(1)).otherwise(0.25).alias("v")
+    )
+    found = quantiles.exact_quantiles(df, ["k"], "v", {"q": 0.5}, small=10)
+    assert found.first()["q"] == 0.25
+    assert not [table for table in held if table.columns == ["group", "path", "value"]]
 
 
 def test_null_and_nan_are_left_out(spark):

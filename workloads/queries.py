@@ -530,8 +530,7 @@ def top_zones(spark, sf):
 @query
 def prev_value(spark, sf):
     observed = roles.observations(spark, sf)
-    day = F.col("observed_at").cast("date")
-    lagged = windows.previous_value(observed, "event_type", ["observed_at", "event_id"], "value", day)
+    lagged = windows.previous_value(observed, "event_type", ["observed_at", "event_id"], "value")
     return lagged.select("event_id", "event_type", "value", "prev_value")
 
 
