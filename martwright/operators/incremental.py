@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import hold, lookup_join
+from martwright.sources import versions
 from martwright.sources.sinks import (
-    add_version,
-    full_refresh,
-    latest_version,
     overwrite,
     read_if_exists,
-    read_refreshed,
     replace_partition,
     replace_partitions,
 )
@@ -134,17 +132,16 @@ def merge_into(
         replace_partitions(changes, path, partition, sort_by=keys)
         return
     named = changes if touched is None else touched
-    version = latest_version(spark, staging) + 1
-    overwrite(named.select(partition).distinct(), _partition_list(staging, version))
+    version = versions.latest_version(spark, staging)
     merged = upsert(only_partitions_of(target, named, partition), changes, keys, touched)
-    full_refresh(merged, staging)
+    candidate = versions.stage(merged, staging)
+    partitions = f"{candidate.folder}_partitions"
+    overwrite(named.select(partition).distinct(), f"{staging}/{partitions}")
+    # Of two merges into one table the second fails here, before the table is touched.
+    versions.commit(candidate, version, extra={"partitions": partitions})
     finish_merge(spark, path, keys, partition, staging)
 
 
-def _partition_list(staging: str, version: int) -> str:
-    return f"{staging}/partitions/{version}"
-
-
 def finish_merge(
     spark: SparkSession, path: str, keys: Sequence[str], partition: str, staging: str
 ) -> None:
@@ -152,12 +149,15 @@ def finish_merge(
 
     A partition left without rows is emptied.
     """
-    staged = latest_version(spark, staging)
-    if staged > latest_version(spark, staging, APPLIED):
-        rows = read_refreshed(spark, staging)
-        replace_partitions(rows, path, partition, sort_by=keys)
-        wanted = spark.read.parquet(_partition_list(staging, staged))
-        empty = wanted.join(rows.select(partition).distinct(), partition, "left_anti")
-        for row in empty.where(F.col(partition).isNotNull()).collect():
-            replace_partition(rows, path, partition, str(row[0]))
-        add_version(spark, staging, staged, APPLIED)
+    staged = versions.latest_entry(spark, staging)
+    if staged is None or staged.version <= versions.latest_version(spark, staging, APPLIED):
+        return
+    rows = versions.read_refreshed(spark, staging)
+    replace_partitions(rows, path, partition, sort_by=keys)
+    wanted = spark.read.schema(rows.select(partition).schema).parquet(f"{staging}/{staged.extra['partitions']}")
+    empty = wanted.join(rows.select(partition).distinct(), partition, "left_anti")
+    for row in empty.where(F.col(partition).isNotNull()).collect():
+        replace_partition(rows, path, partition, str(row[0]))
+    versions.add_entry(spark, staging, staged.version, APPLIED)
+    # Nobody reads the staging area but merges: only the newest version stays.
+    versions.expire(spark, staging, timedelta(0))

@@ -223,6 +223,23 @@ def run_contracts(
     return reduce(DataFrame.unionByName, reports)
 
 
+def no_rows(model: str, kind: str, column: str, failing: DataFrame) -> DataFrame:
+    """A report line for a test that passes if ``failing`` has no rows."""
+    return failing.agg(F.count("*").alias("n_failing")).select(
+        F.lit(model).alias("model"),
+        F.lit(kind).alias("check_kind"),
+        F.lit(column).alias("column_name"),
+        "n_failing",
+        (F.col("n_failing") == 0).alias("passed"),
+    )
+
+
+def fresh(model: str, df: DataFrame, as_of: date, *, at: str = "loaded_at", **limits: int) -> DataFrame:
+    """A report line on the age of the newest load: an ``error`` fails, a ``warn`` does not."""
+    stale = freshness(df, as_of, at=at, **limits).where(F.col("status") == "error")
+    return no_rows(model, "freshness", at, stale)
+
+
 def out_of_order(trips: DataFrame) -> DataFrame:
     """Trips that do not end after they start."""
     return trips.where(F.col("pickup_datetime") >= F.col("dropoff_datetime"))

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martwright.operators import quality
 from martwright.operators.incremental import after_watermark, merge_into
-from martwright.operators.joins import country_with_us
+from martwright.operators.joins import country_with_us, hold
 from martwright.operators.reshape import annual, widen
 from martwright.operators.staging import stage_country, stage_series_with_value
+from martwright.plans import contracts
+from martwright.plans.audit import publish
 from martwright.plans.contracts import (
+    COUNTRIES,
     COUNTRY_COLUMNS,
     COUNTRY_INDICATORS,
     SNAPSHOT_SERIES,
@@ -21,9 +25,17 @@ from martwright.plans.contracts import (
 )
 from martwright.plans.marts import SNAPSHOT_FIRST_YEAR, country_snapshot, stamped
 from martwright.schemas import RAW_COUNTRY, RAW_SERIES_NAMED
-from martwright.sources.documents import read_country_indicators, read_series_strict
+from martwright.session import work_scope
+from martwright.sources.documents import (
+    country_documents,
+    country_rows,
+    refuse_rejected,
+    series_documents,
+    strict_series_rows,
+)
 from martwright.sources.landing import typed_raw
-from martwright.sources.sinks import full_refresh, read_if_exists, read_refreshed
+from martwright.sources.sinks import read_if_exists
+from martwright.sources.versions import read_refreshed, stage
 
 # Where loading starts for a series or country not seen before.
 FIRST_DATE = date(2000, 1, 1)
@@ -40,9 +52,15 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def load_series(spark: SparkSession, landing: str, path: str, names: Mapping[str, str]) -> None:
-    """Add observations from each series' newest date on; that date is read again and replaced."""
+    """Add observations from each series' newest date on; that date is read again and replaced.
+
+    A document that cannot be read stops the load: its observations would be passed over
+    for good once the series has gone on.
+    """
+    documents = hold(series_documents(spark, landing))
+    refuse_rejected(documents, f"{path}_rejected_documents")
     stored = _stored(spark, path, STORED_SERIES)
-    delivered = typed_raw(read_series_strict(spark, landing, names), RAW_SERIES_NAMED)
+    delivered = typed_raw(strict_series_rows(documents, names), RAW_SERIES_NAMED)
     fresh = after_watermark(
         delivered, stored, ["series_id"], "date", F.lit(FIRST_DATE), inclusive=True
     )
@@ -57,9 +75,14 @@ def load_country(
     names: Mapping[str, str],
     first_year: int = FIRST_YEAR,
 ) -> None:
-    """Add years after the newest loaded one of each indicator and country."""
+    """Add years after the newest loaded one of each indicator and country.
+
+    A document that cannot be read stops the load, an error answer does not.
+    """
+    documents = hold(country_documents(spark, landing))
+    refuse_rejected(documents, f"{path}_rejected_documents")
     stored = _stored(spark, path, RAW_COUNTRY)
-    delivered = typed_raw(read_country_indicators(spark, landing, names), RAW_COUNTRY)
+    delivered = typed_raw(country_rows(documents, names), RAW_COUNTRY)
     series = ["indicator_id", "country_code"]
     fresh = after_watermark(
         delivered, stored, series, "year", F.lit(first_year), inclusive=False
@@ -79,6 +102,25 @@ def country_years(
     return country_with_us(wide, annual(series, us_columns))
 
 
+def audit(
+    series: DataFrame,
+    country: DataFrame,
+    mart: DataFrame,
+    series_ids: Sequence[str] = tuple(SNAPSHOT_SERIES),
+    codes: Sequence[str] = tuple(COUNTRIES),
+    indicator_ids: Sequence[str] = tuple(COUNTRY_INDICATORS),
+) -> DataFrame:
+    """One line for each of the 14 contract checks of both staged sources and the mart."""
+    return quality.run_contracts(
+        {
+            "stg_fred_observations": (series, contracts.snapshot_series_contract(series_ids)),
+            "stg_worldbank_indicators": (country, contracts.country_contract(codes, indicator_ids)),
+            "mart_global_economic_snapshot": (mart, contracts.COUNTRY_SNAPSHOT),
+        },
+        {},
+    )
+
+
 def refresh(
     spark: SparkSession,
     series_landing: str,
@@ -87,19 +129,25 @@ def refresh(
     *,
     series_names: Mapping[str, str] = SNAPSHOT_SERIES,
     indicator_names: Mapping[str, str] = COUNTRY_INDICATORS,
+    country_codes: Sequence[str] = tuple(COUNTRIES),
     country_columns: Mapping[str, str] = COUNTRY_COLUMNS,
     us_columns: Mapping[str, str] = US_COLUMNS,
     load_after_year: int = FIRST_YEAR,
     first_year: int = SNAPSHOT_FIRST_YEAR,
 ) -> DataFrame:
-    load_series(spark, series_landing, f"{folder}/raw_series", series_names)
-    load_country(spark, country_landing, f"{folder}/raw_country", indicator_names, load_after_year)
-    joined = country_years(
-        stage_country(_stored(spark, f"{folder}/raw_country", RAW_COUNTRY)),
-        stage_series_with_value(_stored(spark, f"{folder}/raw_series", STORED_SERIES)),
-        country_columns,
-        us_columns,
-    )
-    mart = f"{folder}/mart_global_economic_snapshot"
-    full_refresh(stamped(country_snapshot(joined, first_year)), mart)
-    return read_refreshed(spark, mart)
+    """Load both sources past their watermarks and rebuild the mart.
+
+    The new mart becomes readable only if it and both staged sources keep their
+    contracts; otherwise ``AuditFailed`` is raised and readers keep what they have.
+    """
+    with work_scope(spark):
+        load_series(spark, series_landing, f"{folder}/raw_series", series_names)
+        load_country(spark, country_landing, f"{folder}/raw_country", indicator_names, load_after_year)
+        series = stage_series_with_value(_stored(spark, f"{folder}/raw_series", STORED_SERIES))
+        country = stage_country(_stored(spark, f"{folder}/raw_country", RAW_COUNTRY))
+        joined = country_years(country, series, country_columns, us_columns)
+        path = f"{folder}/mart_global_economic_snapshot"
+        mart = stage(stamped(country_snapshot(joined, first_year)), path)
+        report = audit(series, country, mart.rows, list(series_names), country_codes, list(indicator_names))
+        publish([mart], report, f"{folder}/audit_log")
+    return read_refreshed(spark, path)

@@ -26,14 +26,8 @@ from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, v
 from martwright.plans import contracts, marts
 from martwright.schemas import RUN_LOG, STAGED_TRIPS
 from martwright.session import tune, work_scope
-from martwright.sources.sinks import (
-    full_refresh,
-    load_month,
-    log_run,
-    read_if_exists,
-    read_refreshed,
-    replace_partition,
-)
+from martwright.sources.sinks import load_month, log_run, read_if_exists, replace_partition
+from martwright.sources.versions import Candidate, commit, discard, full_refresh, read_refreshed, stage
 
 
 def coerce_for_checks(raw: DataFrame) -> DataFrame:
@@ -118,43 +112,82 @@ def rollups(settings: TripSettings) -> list[Rollup]:
     ]
 
 
-def build_marts(
-    spark: SparkSession, tables: TripTables, zones: DataFrame, month: str, settings: TripSettings
-) -> None:
-    """Read only the month's trips, store their parts, and bring the marts up to date.
+@dataclass(frozen=True)
+class Prepared:
+    """What a delivery changes in one mart, complete and not readable yet."""
+
+    rollup: Rollup
+    parts: DataFrame
+    rows: DataFrame
+    candidate: Candidate | None = None
+    touched: DataFrame | None = None
+
+
+def _parts_path(tables: TripTables, rollup: Rollup) -> str:
+    return f"{tables.folder}/parts/{rollup.mart}"
+
 
-    The parts of a delivered month replace themselves, so a repeated run counts
-    nothing twice. A dated mart gets the rows of the days the delivery touches, or
-    touched when it was built before: late and stray ones included, and those that
-    it no longer has removed. The others are rebuilt from the small parts.
+def prepare_marts(
+    spark: SparkSession, tables: TripTables, arrived: DataFrame, zones: DataFrame, label: str, settings: TripSettings
+) -> list[Prepared]:
+    """Read only a delivery's trips and work out what they change in each mart.
+
+    ``label`` names the delivery in ``source_month``. A dated mart gets the rows of the
+    days the delivery touches, or touched when it was built before: late and stray ones
+    included. The others are rebuilt from the small parts.
     """
-    staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
-    arrived = staged.where(F.col("source_month") == month)
     zoned = with_zones(arrived, zones, ["pickup"])
+    prepared = []
     for rollup in rollups(settings):
-        path = f"{tables.folder}/parts/{rollup.mart}"
-        fresh = rollup.parts(zoned if rollup.zoned else arrived, "source_month")
+        fresh = hold(rollup.parts(zoned if rollup.zoned else arrived, "source_month"))
+        before = read_if_exists(spark, _parts_path(tables, rollup), fresh.schema)
+        stored = fresh
+        if before is not None:
+            stored = fresh.unionByName(before.where(F.col("source_month") != label))
         if rollup.day is None:
-            replace_partition(fresh, path, "source_month", month)
-            stored = spark.read.schema(fresh.schema).parquet(path)
-            full_refresh(rollup.finish(stored), getattr(tables, rollup.mart))
+            candidate = stage(rollup.finish(stored), getattr(tables, rollup.mart))
+            prepared.append(Prepared(rollup, fresh, candidate.rows, candidate))
+            continue
+        keys = [rollup.day, "pickup_borough"]
+        touched = _touched_keys(spark, tables, rollup, fresh, before, keys, label)
+        changed = hold(recompute_touched(touched, stored, keys, rollup.finish))
+        prepared.append(Prepared(rollup, fresh, changed, touched=touched))
+    return prepared
+
+
+def publish_marts(spark: SparkSession, tables: TripTables, prepared: Sequence[Prepared], label: str) -> None:
+    """Store the delivery's parts and bring the marts up to date.
+
+    The parts of a delivery replace themselves, so one that is repeated counts nothing
+    twice. Its keys are noted before that and until its mart has them, so a job that
+    dies in between is finished by the next one with the same label.
+    """
+    for one in prepared:
+        rollup, path = one.rollup, _parts_path(tables, one.rollup)
+        if one.candidate is not None:
+            replace_partition(one.parts, path, "source_month", label)
+            commit(one.candidate)
             continue
         keys = [rollup.day, "pickup_borough"]
-        touched = _touched_keys(spark, tables, rollup, fresh, keys, month)
-        replace_partition(fresh, path, "source_month", month)
-        stored = spark.read.schema(fresh.schema).parquet(path)
-        changed = recompute_touched(touched, stored, keys, rollup.finish)
+        noted = one.touched.select(F.lit(label).alias("source_month"), *keys)
+        replace_partition(noted, _pending(tables, rollup), "source_month", label)
+        replace_partition(one.parts, path, "source_month", label)
         in_month = month_start(F.col(rollup.day))
         merge_into(
-            changed.withColumn("mart_month", in_month),
+            one.rows.withColumn("mart_month", in_month),
             getattr(tables, rollup.mart),
             keys,
             "mart_month",
             f"{tables.folder}/merging/{rollup.mart}",
-            touched.withColumn("mart_month", in_month),
+            one.touched.withColumn("mart_month", in_month),
         )
-        pending = _pending(tables, rollup)
-        replace_partition(stored.limit(0).select("source_month", *keys), pending, "source_month", month)
+        replace_partition(noted.limit(0), _pending(tables, rollup), "source_month", label)
+
+
+def drop_prepared(prepared: Sequence[Prepared]) -> None:
+    for one in prepared:
+        if one.candidate is not None:
+            discard(one.candidate)
 
 
 def _pending(tables: TripTables, rollup: Rollup) -> str:
@@ -166,46 +199,31 @@ def _touched_keys(
     tables: TripTables,
     rollup: Rollup,
     fresh: DataFrame,
+    before: DataFrame | None,
     keys: Sequence[str],
-    month: str,
+    label: str,
 ) -> DataFrame:
-    """Keys of a month's delivery, now and before, noted until the mart has them.
-
-    The note outlives a job that dies between replacing the parts and the merge.
-    """
+    """Keys of a delivery, now and before, and those noted by a run of it that died."""
     schema = fresh.select("source_month", *keys).schema
-    found = fresh.select("source_month", *keys)
-    parts = read_if_exists(spark, f"{tables.folder}/parts/{rollup.mart}", fresh.schema)
+    found = fresh.select(*keys)
     noted = read_if_exists(spark, _pending(tables, rollup), schema)
-    for before in (parts, noted):
-        if before is not None:
-            found = found.unionByName(before.where(F.col("source_month") == month).select(found.columns))
-    held = hold(found.distinct())
-    replace_partition(held, _pending(tables, rollup), "source_month", month)
-    return held.select(*keys)
-
-
-def mart_report(spark: SparkSession, tables: TripTables) -> DataFrame:
-    """The contract checks of the marts; a dated mart without any day has no table yet."""
-    models = {
-        "mart_pickup_zones": (
-            read_refreshed(spark, tables.mart_pickup_zones),
-            contracts.PICKUP_ZONES,
-        ),
-        "mart_payment_summary": (
-            read_refreshed(spark, tables.mart_payment_summary),
-            contracts.PAYMENT_SUMMARY,
-        ),
-    }
-    dated = {
-        "mart_daily_revenue": contracts.DAILY_REVENUE,
-        "mart_trip_duration": contracts.TRIP_DURATION,
-    }
-    for name, contract in dated.items():
-        mart = read_if_exists(spark, getattr(tables, name))
-        if mart is not None:
-            models[name] = (mart, contract)
-    return run_contracts(models, {})
+    for earlier in (before, noted):
+        if earlier is not None:
+            found = found.unionByName(earlier.where(F.col("source_month") == label).select(*keys))
+    return hold(found.distinct())
+
+
+MART_CONTRACTS = {
+    "mart_daily_revenue": contracts.DAILY_REVENUE,
+    "mart_trip_duration": contracts.TRIP_DURATION,
+    "mart_pickup_zones": contracts.PICKUP_ZONES,
+    "mart_payment_summary": contracts.PAYMENT_SUMMARY,
+}
+
+
+def mart_report(prepared: Sequence[Prepared]) -> DataFrame:
+    """The contract checks of what is about to be published; dated marts by their changed rows."""
+    return run_contracts({p.rollup.mart: (p.rows, MART_CONTRACTS[p.rollup.mart]) for p in prepared}, {})
 
 
 def _was_built(spark: SparkSession, tables: TripTables, month: str) -> bool:
@@ -233,8 +251,8 @@ def run_month(
 
     ``checks`` guard the landed month and ``contract`` the staged one. A failing
     gate logs and leaves the marts alone; later months do not bring the failed one
-    in. Marts that break their own contract are logged too. The final row is
-    logged whatever happens.
+    in. Marts are checked against their own contracts before they are published. The
+    final row is logged whatever happens.
     """
     with work_scope(spark):
         return _run_month(
@@ -284,8 +302,14 @@ def _run_month(
             report = run_contract(this_month, contract, {"zones": zones})
             if not passes(report, "staged_contract", "marts not built"):
                 return False
-        build_marts(spark, tables, zones, month, settings)
-        built = passes(mart_report(spark, tables), "mart_contracts", "marts need a look")
+        staged = spark.read.schema(STAGED_TRIPS).parquet(tables.staged_trips)
+        arrived = staged.where(F.col("source_month") == month)
+        prepared = prepare_marts(spark, tables, arrived, zones, month, settings)
+        if not passes(mart_report(prepared), "mart_contracts", "marts left as they were"):
+            drop_prepared(prepared)
+            return False
+        publish_marts(spark, tables, prepared, month)
+        built = True
     finally:
         status = "SUCCESS" if built else "FAILED"
         log(status=status, task="run_complete", message=f"Run complete for {month}: {status}")

@@ -108,9 +108,13 @@ RUN_LOG = layout(
     "run_id string, month_processed string, status string, task_name string, message string"
 )
 
-VERSIONS = layout("version integer")
+AUDIT_LOG = layout(
+    "model string, check_kind string, column_name string, n_failing long, passed boolean,"
+    " audited_at timestamp"
+)
+REJECTED = layout("source_id string, file_path string, reason string, n_chars integer")
 
-SERIES_DOCUMENT = "observations array<struct<date: string, value: string>>, series_id string"
+SERIES_DOCUMENT = "observations array<struct<date: string, value: string>>, corrupt string"
 COUNTRY_ROWS = (
     "array<struct<countryiso3code: string, country: struct<id: string, value: string>,"
     " date: string, value: double>>"

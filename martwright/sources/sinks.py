@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.schemas import RUN_LOG, VERSIONS
-
-KEPT_VERSIONS = 4
+from martwright.schemas import RUN_LOG
+from martwright.sources.versions import full_refresh, read_refreshed  # noqa: F401
 
 
 def read_if_exists(
@@ -102,42 +101,6 @@ def load_month(
     return True
 
 
-def latest_version(spark: SparkSession, path: str, list_name: str = "versions") -> int:
-    """Newest entry of a version list below ``path``; 0 before the first."""
-    versions = read_if_exists(spark, f"{path}/{list_name}", VERSIONS)
-    return (versions.agg(F.max("version")).first()[0] or 0) if versions is not None else 0
-
-
-def add_version(
-    spark: SparkSession, path: str, version: int, list_name: str = "versions"
-) -> None:
-    entry = spark.range(1).select(F.lit(version).alias("version")).coalesce(1)
-    entry.write.mode("append").parquet(f"{path}/{list_name}")
-
-
-def _version_folder(path: str, version: int) -> str:
-    return f"{path}/data/{version % KEPT_VERSIONS}"
-
-
-def full_refresh(df: DataFrame, path: str) -> int:
-    """Replace the whole table in one step and return its version.
-
-    The rows go to a folder no recent reader uses; readers move to it only when
-    the version list gains its entry, so a failed write leaves the old table in
-    place. The last few versions stay for readers already under way.
-    """
-    spark = df.sparkSession
-    version = latest_version(spark, path) + 1
-    overwrite(df, _version_folder(path, version))
-    add_version(spark, path, version)
-    return version
-
-
-def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
-    """The current version of a table written by ``full_refresh``."""
-    return spark.read.parquet(_version_folder(path, latest_version(spark, path)))
-
-
 def log_run(
     spark: SparkSession,
     path: str,

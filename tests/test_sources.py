@@ -57,6 +57,52 @@ def test_strict_series_documents(spark, tmp_path):
         documents.read_series_strict(spark, str(tmp_path / "bad"), NAMES).collect()
 
 
+WHOLE = '{"observations":[{"date":"2025-01-01","value":"1.5"},{"date":"2025-02-01","value":"2"}]}'
+BROKEN = {
+    "cut": (WHOLE[: len(WHOLE) // 2], "not a whole JSON document"),
+    "late": (WHOLE[:-1], "not a whole JSON document"),
+    "html": ("<html>busy</html>", "not a whole JSON document"),
+    "empty": ("", "empty"),
+    "blank": (" \n", "empty"),
+    "error": ('{"error_code": 400, "error_message": "Bad Request"}', "no observations"),
+    "other": ('{"observations": "none"}', "not a whole JSON document"),
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_an_unreadable_series_document_is_told_and_stops_the_load(spark, tmp_path, name):
+    text, reason = BROKEN[name]
+    write(tmp_path, "series_id=GDP/1.json", WHOLE)
+    write(tmp_path, f"series_id=GDP/{name}.json", text)
+    write(tmp_path, "series_id=UNRATE/3.json", WHOLE)
+    told = documents.rejected(documents.series_documents(spark, str(tmp_path))).collect()
+    assert [(r.source_id, r.file_path.rsplit("/", 1)[1], r.reason) for r in told] == [("GDP", f"{name}.json", reason)]
+    for read in (documents.read_series, documents.read_series_strict):
+        with pytest.raises(Exception, match=f"{name}.json: {reason}"):
+            read(spark, str(tmp_path), NAMES).collect()
+    assert documents.read_series(spark, str(tmp_path), NAMES, skip=True).count() == 4
+    with pytest.raises(documents.UnreadableDocuments, match=f"{name}.json: {reason}"):
+        documents.refuse_rejected(documents.series_documents(spark, str(tmp_path)))
+
+
+def test_unreadable_country_documents(spark, tmp_path):
+    row = '{"countryiso3code":"DEU","country":{"id":"DE","value":"Germany"},"date":"2020","value":3.8}'
+    whole = f'[{{"page": 1}}, [{row}]]'
+    for name, text in {
+        "whole": whole, "cut": whole[:60], "empty": "", "list": '[{"message": []}]', "none": '[{"page": 0}, null]',
+        "object": '{"message": "bad"}', "odd": '[{"page": 1}, "busy"]',
+    }.items():
+        write(tmp_path, f"indicator_id=X/{name}.json", text)
+    read = documents.country_documents(spark, str(tmp_path))
+    told = {r.file_path.rsplit("/", 1)[1]: r.reason for r in documents.rejected(read).collect()}
+    assert told == {
+        "cut.json": "not a whole JSON document", "empty.json": "empty", "odd.json": "rows of another layout"
+    }
+    with pytest.raises(Exception, match="json: "):
+        documents.read_country_indicators(spark, str(tmp_path), {"X": "x"}).collect()
+    assert documents.read_country_indicators(spark, str(tmp_path), {"X": "x"}, skip=True).count() == 1
+
+
 def test_country_documents(spark, tmp_path):
     rows = """[{"page": 1},
       [{"country": {"id": "DE", "value": "Germany"}, "countryiso3code": "DEU",
@@ -137,17 +183,6 @@ def test_rebalanced_write_makes_few_files(spark, tmp_path):
     assert len(parts) == 10
 
 
-def test_full_refresh_keeps_the_old_version_on_failure(spark, tmp_path):
-    path = str(tmp_path / "table")
-    for n in range(1, 7):
-        assert sinks.full_refresh(spark.range(n), path) == n
-        assert sinks.read_refreshed(spark, path).count() == n
-    failing = spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
-    with pytest.raises(Exception, match="broken"):
-        sinks.full_refresh(failing, path)
-    assert sinks.read_refreshed(spark, path).count() == 6
-
-
 def test_publish_layers(spark, tmp_path):
     view = sinks.publish(spark.range(3), "staged_numbers", "staging", str(tmp_path))
     table = sinks.publish(view, "numbers", "mart", str(tmp_path))
