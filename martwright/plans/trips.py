@@ -9,11 +9,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.functions.calendar import month_start
 from martwright.functions.casts import parse_columns
 from martwright.operators.incremental import merge_into, recompute_touched
 from martwright.operators.joins import hold, with_zones
+from martwright.operators.profiling import load_report
 from martwright.operators.quality import (
     Check,
     Contract,
@@ -24,8 +26,10 @@ from martwright.operators.quality import (
 )
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import contracts, marts
-from martwright.schemas import RUN_LOG, STAGED_TRIPS
+from martwright.schemas import RAW_TRIPS, RUN_LOG, STAGED_TRIPS, TRIP_FILE
 from martwright.session import tune, work_scope
+from martwright.sources.files import read_facts, read_zones_csv
+from martwright.sources.landing import month_named, stringify
 from martwright.sources.sinks import load_month, log_run, read_if_exists, replace_partition
 from martwright.sources.versions import Candidate, commit, discard, full_refresh, read_refreshed, stage
 
@@ -70,6 +74,56 @@ def staged_trips(raw: DataFrame, settings: TripSettings) -> DataFrame:
     return valid_trips(cast_trips(raw), settings.first_day, settings.end_day)
 
 
+def land_month_file(
+    spark: SparkSession,
+    path: str,
+    folder: str,
+    *,
+    month: str | None = None,
+    schema: T.StructType = TRIP_FILE,
+    replace: bool = False,
+) -> bool:
+    """Land one delivered trip file as text under its own month; False if that was there.
+
+    The month is the one in the file's name unless given. All rows go there, stray
+    pickups of other months too. A month that is there is kept unless ``replace`` is set.
+    """
+    named = month_named(path) if month is None else month
+    raw = stringify(read_facts(spark, path, schema), named)
+    return load_month(raw, TripTables(folder).raw_trips, named, replace=replace)
+
+
+def land_zone_file(spark: SparkSession, path: str, folder: str) -> None:
+    """Replace the zone table by a delivered CSV file."""
+    full_refresh(read_zones_csv(spark, path), TripTables(folder).raw_zones)
+
+
+def landed_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows landed: in total, per month and in the zone table."""
+    tables = TripTables(folder)
+    raw = spark.read.schema(RAW_TRIPS).parquet(tables.raw_trips)
+    return load_report(raw, read_refreshed(spark, tables.raw_zones), month="SOURCE_MONTH")
+
+
+def run_delivery(
+    spark: SparkSession,
+    trip_file: str,
+    zone_file: str,
+    folder: str,
+    run_id: str,
+    checks: Sequence[Check],
+    *,
+    month: str | None = None,
+    schema: T.StructType = TRIP_FILE,
+    **options,
+) -> bool:
+    """``run_month`` on files as they were delivered: one month of trips and the zones."""
+    named = month_named(trip_file) if month is None else month
+    raw = stringify(read_facts(spark, trip_file, schema), named)
+    zones = read_zones_csv(spark, zone_file)
+    return run_month(spark, raw, zones, folder, named, run_id, checks, **options)
+
+
 def stage_month(
     landed: DataFrame, tables: TripTables, month: str, settings: TripSettings, replace: bool = False
 ) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,18 @@ from martwright.functions.casts import MISSING_TEXTS, null_if_in
 from martwright.sources.files import upper_names
 
 
+#: The month that a delivery is named after: the last ``YYYY-MM`` in its path.
+MONTH_IN_NAME = r"^.*(?<![0-9])([0-9]{4}-[0-9]{2})(?![0-9])"
+
+
+def month_named(path: str) -> str:
+    """Month in the name of a delivery. Its rows cannot tell: they hold stray pickups of others."""
+    found = re.match(MONTH_IN_NAME, path)
+    if found is None:
+        raise ValueError(f"no month in the name of {path}")
+    return found.group(1)
+
+
 def stringify(
     df: DataFrame, source_month: str | Column, month_column: str = "SOURCE_MONTH"
 ) -> DataFrame:

@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.functions.calendar import month_label
 from martwright.schemas import TRIP_FILE
-from martwright.sources.landing import stringify
+from martwright.sources.landing import MONTH_IN_NAME, stringify
 from martwright.sources.sinks import read_if_exists
 
+#: Files that one batch adds to a month at most.
+FILES_PER_MONTH = 4
+
+
+def new_files(
+    spark: SparkSession, drop_folder: str, schema: T.StructType = TRIP_FILE, max_files: int = 1000
+) -> DataFrame:
+    """Stream of delivered rows as text, under the month that their file is named after.
+
+    A file without a month in its name stops the stream.
+    """
+    files = (
+        spark.readStream.schema(schema)
+        .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(drop_folder)
+    )
+    path = F.col("_metadata.file_path")
+    found = F.regexp_extract(path, MONTH_IN_NAME, 1)
+    unnamed = F.raise_error(F.concat(F.lit("no month in the name of "), path)).cast("string")
+    return stringify(files, F.when(found != "", found).otherwise(unnamed))
+
 
 def land_new_files(
     spark: SparkSession,
@@ -18,18 +39,20 @@ def land_new_files(
     table: str,
     checkpoint: str,
     schema: T.StructType = TRIP_FILE,
-    time_column: str = "tpep_pickup_datetime",
+    max_files: int = 1000,
 ) -> int:
     """Append files not seen before to the text table; returns the rows it gained.
 
     The checkpoint remembers the files and the sink's own log the finished
-    batches, so a run that is killed and repeated adds every row once.
+    batches, so a run that is killed and repeated adds every row once. Rows of a month
+    are spread over a few tasks by their content: a batch adds few files, and a month
+    that holds most of it is not one task's.
     """
     before = _rows(spark, table)
-    files = spark.readStream.schema(schema).parquet(drop_folder)
-    month = month_label(F.col(time_column))
+    rows = new_files(spark, drop_folder, schema, max_files)
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(FILES_PER_MONTH))
     query = (
-        stringify(files, month)
+        rows.repartition("SOURCE_MONTH", share)
         .writeStream.format("parquet")
         .partitionBy("SOURCE_MONTH")
         .option("path", table)

@@ -1,11 +1,17 @@
 """The end-to-end jobs on small made-up deliveries."""
 
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.operators import quality
 from martwright.plans import contracts, indicators, snapshot, trips
-from martwright.sources.sinks import read_refreshed
+from martwright.plans.audit import AuditFailed
+from martwright.schemas import TRIP_FILE
+from martwright.sources.documents import UnreadableDocuments
+from martwright.sources.versions import read_refreshed
 from tests.test_sources import write
 from tests.test_staging import raw_trips
 
@@ -63,6 +69,43 @@ def test_late_and_stray_rows_end_up_right_and_reruns_change_nothing(spark, tmp_p
     assert [line[1:] for line in log(spark, folder)] == [("run_complete", "SUCCESS")] * 3
 
 
+def test_delivered_files_land_under_their_own_month(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+    layout = T.StructType([T.StructField(f.name, T.StringType()) for f in TRIP_FILE])
+    names = dict(zip([f.name.upper() for f in layout], layout.names))
+    rows = delivery(spark, "2025-11", ("2025-11-05", "10.0"), ("2025-12-01", "1.5")).drop("SOURCE_MONTH")
+    path = f"{tmp_path}/yellow_tripdata_2025-11.parquet"
+    rows.select([F.col(upper).alias(name) for upper, name in names.items()]).write.parquet(path)
+    write(tmp_path, "zones.csv", "LocationID,Borough,Zone,service_zone\n1,EWR,Newark,EWR\n")
+    assert trips.land_month_file(spark, path, folder, schema=layout)
+    assert not trips.land_month_file(spark, path, folder, schema=layout)
+    trips.land_zone_file(spark, f"{tmp_path}/zones.csv", folder)
+    told = {(r.section, r.item): r.n_rows for r in trips.landed_report(spark, folder).collect()}
+    assert told == {("total", "trips"): 2, ("month", "2025-11"): 2, ("dimension", "zones"): 1}
+    assert trips.run_delivery(spark, path, f"{tmp_path}/zones.csv", folder, "r1", CHECKS, schema=layout)
+    assert revenue(spark, folder) == [("2025-11-05", 1, 10.0), ("2025-12-01", 1, 1.5)]
+
+
+def breaks_contract(df):
+    return df.withColumn("total_trips", F.lit(None).cast("long"))
+
+
+def test_marts_that_break_their_contract_are_not_published(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    assert run(spark, folder, delivery(spark, "2025-11", ("2025-11-05", "10.0")), "2025-11", "r1")
+    second = delivery(spark, "2025-12", ("2025-12-05", "3.0"), ("2025-11-05", "1.0"))
+    finish = trips.marts.payment_summary_of
+    with monkeypatch.context() as patch:
+        patch.setattr(trips.marts, "payment_summary_of", lambda parts: breaks_contract(finish(parts)))
+        assert not run(spark, folder, second, "2025-12", "r2")
+    assert revenue(spark, folder) == [("2025-11-05", 1, 10.0)]
+    assert read_refreshed(spark, f"{folder}/mart_payment_summary").first().total_trips == 1
+    assert ("r2", "mart_contracts", "FAILED") in log(spark, folder)
+    assert run(spark, folder, second, "2025-12", "r3")
+    assert revenue(spark, folder) == [("2025-11-05", 2, 11.0), ("2025-12-05", 1, 3.0)]
+    assert read_refreshed(spark, f"{folder}/mart_payment_summary").first().total_trips == 3
+
+
 def test_failing_gate_logs_and_leaves_the_marts(spark, tmp_path):
     folder = str(tmp_path)
     assert run(spark, folder, delivery(spark, "2025-11", ("2025-11-05", "10.0")), "2025-11", "r1")
@@ -132,6 +175,56 @@ def test_indicator_job_reloads_revised_history(spark, tmp_path):
     assert tuple(card) == ("Unemployment Rate", "4.25%", "+0.15 pp", "inverse")
 
 
+def test_indicator_job_publishes_nothing_that_fails(spark, tmp_path):
+    landing, folder = tmp_path / "landing", str(tmp_path / "tables")
+
+    def land(name, *values):
+        pairs = ",".join(f'{{"date": "2025-0{m}-01", "value": "{v}"}}' for m, v in enumerate(values, 1))
+        write(landing, f"series_id=UNRATE/{name}.json", f'{{"observations": [{pairs}]}}')
+
+    def published():
+        mart = read_refreshed(spark, f"{folder}/mart_economic_indicators")
+        raw = read_refreshed(spark, f"{folder}/raw_series")
+        return mart.count(), raw.count(), mart.agg(F.max("value")).first()[0]
+
+    land("page", 4.0, 4.25)
+    indicators.refresh(spark, str(landing), folder)
+    land("page", 4.0, 4.25, 99.0)
+    with pytest.raises(AuditFailed, match="value_range value: 1 failing"):
+        indicators.refresh(spark, str(landing), folder)
+    assert published() == (2, 2, 4.25)
+    land("page", 4.0, 4.25, 4.5)
+    write(landing, "series_id=UNRATE/more.json", '{"observations": [{"date": "2025-04-01", "va')
+    with pytest.raises(UnreadableDocuments, match="more.json"):
+        indicators.refresh(spark, str(landing), folder)
+    assert published() == (2, 2, 4.25)
+    assert spark.read.parquet(f"{folder}/rejected_documents").first().reason == "not a whole JSON document"
+    (landing / "series_id=UNRATE" / "more.json").unlink()
+    indicators.refresh(spark, str(landing), folder)
+    assert published() == (3, 3, 4.5)
+    with pytest.raises(AuditFailed, match="freshness loaded_at"):
+        indicators.refresh(spark, str(landing), folder, as_of=date.today() + timedelta(days=61))
+    lines = spark.read.parquet(f"{folder}/audit_log")
+    assert lines.where("not passed").count() == 3 and lines.count() == 4 * 9
+
+
+def test_snapshot_job_publishes_nothing_that_fails(spark, tmp_path):
+    folder, series, country = str(tmp_path / "tables"), tmp_path / "series", tmp_path / "country"
+    write(series, "series_id=UNRATE/page.json", '{"observations": [{"date": "2020-01-01", "value": "3.5"}]}')
+
+    def land(code, value):
+        row = f'{{"countryiso3code": "{code}", "country": {{"id": "x", "value": "Land"}}, "date": "2020", "value": {value}}}'
+        write(country, f"indicator_id=NY.GDP.MKTP.CD/{code}.json", f'[{{"page": 1}}, [{row}]]')
+        return snapshot.refresh(spark, str(series), str(country), folder)
+
+    assert land("DEU", 1e9).count() == 1
+    with pytest.raises(AuditFailed, match="stg_worldbank_indicators in_set country_code: 1 failing"):
+        land("XXX", 2e9)
+    assert read_refreshed(spark, f"{folder}/mart_global_economic_snapshot").count() == 1
+    lines = spark.read.parquet(f"{folder}/audit_log")
+    assert lines.count() == 2 * 14
+
+
 def test_snapshot_job_loads_past_its_watermarks(spark, tmp_path):
     folder = str(tmp_path / "tables")
 

@@ -190,19 +190,44 @@ def test_publish_layers(spark, tmp_path):
     assert table.count() == 3 and os.path.isdir(tmp_path / "mart" / "numbers")
 
 
-def test_stream_reads_each_file_once(spark, tmp_path):
+def test_stream_reads_each_file_once_under_its_own_month(spark, tmp_path):
     drop, table, state = (str(tmp_path / name) for name in ("drop", "table", "state"))
+    # All pickups are stray: no row has the month of its file.
     rows = spark.range(10).select("id", F.lit("2025-11-03").cast("timestamp_ntz").alias("at"))
 
     def land():
-        layout = rows.schema
-        return land_new_files(spark, drop, table, state, layout, "at")
+        return land_new_files(spark, drop, table, state, rows.schema)
 
-    rows.coalesce(1).write.mode("append").parquet(drop)
+    rows.repartition(3).write.parquet(f"{drop}/yellow_tripdata_2025-12.parquet")
     assert land() == 10
     assert land() == 0
-    rows.coalesce(1).write.mode("append").parquet(drop)
+    rows.coalesce(1).write.parquet(f"{drop}/2024-07/yellow_tripdata_2026-01.parquet")
     assert land() == 10
     stored = spark.read.parquet(table)
     assert stored.count() == 20
     assert set(stored.columns) == {"ID", "AT", "SOURCE_MONTH"}
+    assert dict(stored.groupBy("SOURCE_MONTH").count().collect()) == {"2025-12": 10, "2026-01": 10}
+    files = list((tmp_path / "table" / "SOURCE_MONTH=2025-12").glob("*.parquet"))
+    assert len(files) <= 4
+
+
+def test_stream_stops_at_a_file_without_a_month(spark, tmp_path):
+    drop, table, state = (str(tmp_path / name) for name in ("drop", "table", "state"))
+    rows = spark.range(3).select("id")
+    rows.write.parquet(f"{drop}/trips_202511.parquet")
+    with pytest.raises(Exception, match="no month in the name of"):
+        land_new_files(spark, drop, table, state, rows.schema)
+
+
+@pytest.mark.parametrize(
+    "path, month",
+    [
+        ("/data/yellow_tripdata_2025-11.parquet", "2025-11"),
+        ("/data/2024-01/yellow_tripdata_2025-12.parquet/part-00000.parquet", "2025-12"),
+        ("/data/2024-01-31/trips", "2024-01"),
+    ],
+)
+def test_month_of_a_name(path, month):
+    assert landing.month_named(path) == month
+    with pytest.raises(ValueError):
+        landing.month_named("/data/trips_202511.parquet")
