@@ -375,7 +375,7 @@ O["raw_stringify"] = sql(
 )
 O["load_skip_existing"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS source_month
     FROM orders WHERE strftime(o_orderdate, '%Y-%m') > '1998-06'"""
-O["append_sink"] = O["stream_landing"] = """
+O["append_sink"] = """
     SELECT strftime(o_orderdate, '%Y-%m') AS SOURCE_MONTH, count(*) AS n_rows
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1"""
 O["overwrite_sink"] = sql("SELECT * FROM zones", "zones")
@@ -803,24 +803,98 @@ O["dq_freshness"] = """SELECT newest, CAST(age AS INTEGER) AS age_days,
     FROM (SELECT max(ts) AS newest,
                  date_diff('day', CAST(max(ts) AS DATE), DATE '2024-03-10') AS age FROM events)"""
 
+def contract_lines(*checks: tuple[str, str, str, str, str]) -> str:
+    """Report lines of ``(model, source, kind, column, failing condition)``."""
+    return " UNION ALL ".join(
+        f"""SELECT '{model}' AS model, '{kind}' AS check_kind, '{column}' AS column_name,
+            count(*) AS n_failing, count(*) = 0 AS passed FROM {source} WHERE {bad}"""
+        for model, source, kind, column, bad in checks
+    )
+
+
+FRED, WORLD = "stg_fred_observations", "stg_worldbank_indicators"
+CHANGES, SNAPSHOT = "mart_economic_indicators", "mart_global_economic_snapshot"
+O["dq_indicator_contracts"] = sql(
+    contract_lines(
+        *[(FRED, "series", "not_null", c, f"{c} IS NULL") for c in ("observation_date", "indicator_name", "series_id")],
+        (FRED, "series", "in_set", "indicator_name", "indicator_name NOT IN ('click', 'error', 'purchase', 'signup')"),
+        *[(CHANGES, "changes", "not_null", c, f"{c} IS NULL") for c in ("observation_date", "indicator_name")],
+        (CHANGES, "changes", "value_range", "value", "series_id = 'error' AND (value < 0 OR value > 700)"),
+        (CHANGES, "changes", "change_limit", "mom_change", "abs(mom_change) > 10"),
+        (
+            "fred_observations",
+            "(SELECT max(ts) AS newest FROM events)",
+            "freshness",
+            "loaded_at",
+            "date_diff('day', CAST(newest AS DATE), DATE '2024-03-10') > 60",
+        ),
+    ),
+    "changes",
+)
+O["dq_snapshot_contracts"] = sql(
+    contract_lines(
+        (FRED, "monthly", "not_null", "series_id", "series_id IS NULL"),
+        (FRED, "monthly", "in_set", "series_id", "series_id NOT IN ('1-URGENT', '2-HIGH')"),
+        *[(FRED, "monthly", "not_null", c, f"{c} IS NULL") for c in ("observation_date", "indicator_value")],
+        (WORLD, "country", "not_null", "country_code", "country_code IS NULL"),
+        (WORLD, "country", "in_set", "country_code", "length(country_code) <> 1"),
+        (WORLD, "country", "not_null", "indicator_id", "indicator_id IS NULL"),
+        (WORLD, "country", "in_set", "indicator_id", "indicator_id NOT IN ('F', 'O')"),
+        *[(WORLD, "country", "not_null", c, f"{c} IS NULL") for c in ("observation_year", "indicator_value")],
+        *[
+            (SNAPSHOT, "country_us", "not_null", c, f"{c} IS NULL")
+            for c in ("country_code", "country_name", "observation_year")
+        ],
+        (SNAPSHOT, "country_us", "not_null", "updated_at", "false"),
+    ),
+    "country_us",
+)
+O["rejected_documents"] = sql(
+    """SELECT source_id, page, CASE page WHEN 1 THEN 'not a whole JSON document'
+           WHEN 3 THEN 'no observations' ELSE 'empty' END AS reason
+       FROM (SELECT DISTINCT series_id AS source_id, CAST((day(date) - 1) // 5 AS INTEGER) AS page FROM daily)
+       WHERE page IN (1, 3, 5)""",
+    "daily",
+)
+
 # --- end to end ---
 
-CTES["typed_joined"] = """SELECT t.*, borough AS pickup_borough FROM typed_valid t
+CTES["repaired"] = """SELECT * REPLACE (
+      CASE RATECODEID WHEN '0.0' THEN '99.0' WHEN '7.0' THEN '6.0' ELSE RATECODEID END AS RATECODEID,
+      CASE VENDORID WHEN '3.0' THEN '1.0' WHEN '4.0' THEN '2.0' WHEN '5.0' THEN '6.0'
+           ELSE VENDORID END AS VENDORID,
+      least(TPEP_PICKUP_DATETIME, TPEP_DROPOFF_DATETIME) AS TPEP_PICKUP_DATETIME,
+      greatest(TPEP_PICKUP_DATETIME, TPEP_DROPOFF_DATETIME) AS TPEP_DROPOFF_DATETIME)
+    FROM raw WHERE VENDORID <> 'x' AND TPEP_PICKUP_DATETIME <> 'not a time'
+      AND FARE_AMOUNT <> 'nan' AND PULOCATIONID <> '24.0' AND DOLOCATIONID <> '24.0'"""
+USES["repaired"] = ["raw"]
+CTES["job_typed"] = CTES["typed"].replace("FROM raw", "FROM repaired")
+USES["job_typed"] = ["repaired"]
+CTES["job_valid"] = CTES["typed_valid"].replace("FROM typed", "FROM job_typed")
+USES["job_valid"] = ["job_typed"]
+CTES["job_joined"] = """SELECT t.*, borough AS pickup_borough, zone AS pickup_zone FROM job_valid t
     LEFT JOIN zones ON pickup_location_id = location_id"""
-USES["typed_joined"] = ["typed_valid", "zones"]
-O["trips_end_to_end"] = sql(revenue_from("typed_joined"), "typed_joined")
-CTES["raw_first"] = """SELECT * FROM raw
-    WHERE SOURCE_MONTH <= '1998-06' AND FARE_AMOUNT NOT LIKE '%7'"""
-USES["raw_first"] = ["raw"]
-CTES["typed_first"] = CTES["typed"].replace("FROM raw", "FROM raw_first")
-USES["typed_first"] = ["raw_first"]
+USES["job_joined"] = ["job_valid", "zones"]
+O["trips_end_to_end"] = sql(revenue_from("job_joined"), "job_joined")
+O["trips_end_to_end_duration"] = sql(CTES["durations"].replace("FROM joined", "FROM job_joined"), "job_joined")
+O["trips_end_to_end_zones"] = sql(CTES["zone_hours"].replace("FROM short", "FROM job_joined"), "job_joined")
+O["trips_end_to_end_payment"] = sql(CTES["payments"].replace("FROM valid", "FROM job_valid"), "job_valid")
 O["gated_publish"] = sql(
-    """SELECT count(*) AS published_trips FROM typed_first JOIN zones
-       ON pickup_location_id = location_id
-       WHERE pickup_datetime < dropoff_datetime
-         AND pickup_datetime >= TIMESTAMP '1995-01-01' AND pickup_datetime < TIMESTAMP '2002-01-01'
-         AND fare_amount > 0 AND trip_distance > 0""",
-    "typed_first",
+    f"""SELECT count(*) AS published_trips FROM job_joined
+        WHERE source_month <= '1998-06' AND NOT CAST(fare_amount AS VARCHAR) LIKE '%7'""",
+    "job_joined",
+)
+O["stream_to_marts"] = sql(revenue_from("joined"), "joined")
+BY_DELIVERY = """SELECT CASE WHEN source_month <= '1998-06' AND CAST(fare_amount AS VARCHAR) NOT LIKE '%7'
+    THEN '1998-06' ELSE '2001-08' END AS delivery FROM trips"""
+O["stream_landing"] = sql(
+    f"SELECT delivery AS SOURCE_MONTH, count(*) AS n_rows FROM ({BY_DELIVERY}) GROUP BY 1", "trips"
+)
+O["land_month_file"] = sql(
+    f"""SELECT 'total' AS section, 'trips' AS item, count(*) AS n_rows FROM trips
+       UNION ALL SELECT 'month', delivery, count(*) FROM ({BY_DELIVERY}) GROUP BY delivery
+       UNION ALL SELECT 'dimension', 'zones', count(*) FROM zones""",
+    "trips",
     "zones",
 )
 O["run_log"] = """
@@ -839,6 +913,7 @@ O["indicators_end_to_end"] = sql(
     f"SELECT {CHANGE_COLUMNS} FROM (" + CTES["changes"].replace("FROM lagged", "FROM landed_lagged") + ")",
     "landed_lagged",
 )
+O["indicators_gated"] = O["indicators_end_to_end"]
 CTES["landed_wide"] = CTES["wide"].replace("FROM country", f"FROM country WHERE {DELIVERED}")
 USES["landed_wide"] = ["country"]
 CTES["landed_annual"] = CTES["annual"].replace(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +24,11 @@ from martwright.operators import (
 )
 from martwright.plans import contracts, indicators, marts, snapshot
 from martwright.plans import trips as trip_job
+from martwright.plans.audit import AuditFailed
 from martwright.schemas import RAW_COUNTRY, RAW_SERIES, RAW_TRIPS
 from martwright.session import tune, work_path
 from martwright.sources import documents, files, landing, sinks
+from martwright.streaming import marts as streamed_marts
 from martwright.streaming.landing import land_new_files
 from workloads import roles
 
@@ -48,6 +51,7 @@ US_COLUMNS = {
     "us_real_gnp_fred": "3-MEDIUM",
 }
 SNAPSHOT_YEAR = 1997
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 ITEM_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 RAW_ROWS = (1, 1_000_000_000_000)
 
@@ -173,6 +177,35 @@ def ingest_series_json_strict(spark, sf):
     return documents.read_series_strict(spark, landed, SERIES_NAMES)
 
 
+@query
+def rejected_documents(spark, sf):
+    """Pages of five days, some cut off, some error answers, some empty."""
+    path = work_path(spark, "series_documents")
+    page = F.floor((F.dayofmonth("date") - 1) / 5).cast("int")
+    observation = F.struct(F.col("date").cast("string").alias("date"), F.col("value").cast("string").alias("value"))
+    body = F.to_json(F.struct(F.collect_list(observation).alias("observations")))
+    (
+        roles.raw_series(spark, sf)
+        .groupBy("series_id", page.alias("page"))
+        .agg(body.alias("body"))
+        .select(
+            "series_id",
+            "page",
+            F.when(F.col("page") == 1, F.substr("body", F.lit(1), F.floor(F.length("body") / 2).cast("int")))
+            .when(F.col("page") == 3, '{"error_code": 400, "error_message": "Bad Request"}')
+            .when(F.col("page") == 5, "")
+            .otherwise(F.col("body"))
+            .alias("value"),
+        )
+        .write.partitionBy("series_id", "page")
+        .text(path)
+    )
+    told = documents.rejected(documents.series_documents(spark, path))
+    return told.select(
+        "source_id", F.regexp_extract("file_path", "/page=([0-9]+)/", 1).cast("int").alias("page"), "reason"
+    )
+
+
 INDICATOR_NAMES = {"F": "finished", "O": "open", "P": "pending"}
 
 
@@ -305,18 +338,49 @@ def materialize_layers(spark, sf):
     return sinks.publish(paid, "trips_per_payment", "mart", folder)
 
 
+def _delivery_of(month, fare):
+    """Name of the delivery a trip comes with: late rows of the first's months come with the second."""
+    first = (month <= CUT_MONTH) & ~fare.cast("string").endswith("7")
+    return F.when(first, CUT_MONTH).otherwise(LAST_DELIVERY)
+
+
+def _drop_files(spark, sf, drop):
+    """Writes both deliveries as named files and returns their paths and layout."""
+    landed = roles.landed_trips(spark, sf)
+    named = landed.withColumn("delivery", _delivery_of(F.col("source_month"), F.col("fare_amount")))
+    paths = {month: f"{drop}/yellow_tripdata_{month}.parquet" for month in (CUT_MONTH, LAST_DELIVERY)}
+    rows = joins.hold(named.drop("l_orderkey", "source_month"))
+    return {
+        month: (path, rows.where(F.col("delivery") == month).drop("delivery")) for month, path in paths.items()
+    }
+
+
 @query
 def stream_landing(spark, sf):
     drop, table, state = (work_path(spark, name) for name in ("drop", "raw_trips", "state"))
-    landed = roles.landed_trips(spark, sf).drop("l_orderkey", "source_month")
-    early = F.col("tpep_pickup_datetime") <= F.lit(CUT_DAY).cast("timestamp_ntz")
-    for part in (landed.where(early), landed.where(~early)):
-        part.write.mode("append").parquet(drop)
-        land_new_files(spark, drop, table, state, landed.schema)
+    for path, rows in _drop_files(spark, sf, drop).values():
+        rows.write.parquet(path)
+        land_new_files(spark, drop, table, state, rows.schema)
     stored = spark.read.parquet(table)
     return stored.groupBy("SOURCE_MONTH").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def land_month_file(spark, sf):
+    drop, folder, zones_csv = (work_path(spark, name) for name in ("drop", "trips", "zones_csv"))
+    for path, rows in _drop_files(spark, sf, drop).values():
+        rows.write.parquet(path)
+        for _ in range(2):
+            trip_job.land_month_file(spark, path, folder, schema=rows.schema)
+    zones = roles.zones(spark, sf)
+    zones.select(
+        F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"),
+        F.col("zone").alias("Zone"), "service_zone",
+    ).write.option("header", True).csv(zones_csv)
+    trip_job.land_zone_file(spark, zones_csv, folder)
+    return trip_job.landed_report(spark, folder)
+
+
 # --- projections, filters, predicates ---
 
 
@@ -755,6 +819,32 @@ def dq_mart_contracts(spark, sf):
     return quality.run_contracts(models, {})
 
 
+@query
+def dq_indicator_contracts(spark, sf):
+    limits = indicators.IndicatorLimits("error", 0.0, 700.0, 10.0)
+    return indicators.audit(
+        roles.raw_series(spark, sf),
+        roles.series(spark, sf),
+        _changes(spark, sf),
+        ["click", "error", "purchase", "signup"],
+        limits,
+        AS_OF,
+    )
+
+
+@query
+def dq_snapshot_contracts(spark, sf):
+    mart = marts.country_snapshot(_country_years(spark, sf), SNAPSHOT_YEAR)
+    return snapshot.audit(
+        roles.monthly_series(spark, sf),
+        roles.country_long(spark, sf),
+        marts.stamped(mart),
+        PRIORITIES[:2],
+        [str(code) for code in range(10)],
+        ["F", "O"],
+    )
+
+
 @query
 def dq_freshness(spark, sf):
     return quality.freshness(roles.raw_series(spark, sf), AS_OF).withColumn(
@@ -768,41 +858,95 @@ def dq_freshness(spark, sf):
 def _delivered(spark, sf):
     """Raw trips in two deliveries; the second brings late rows of the first's months."""
     raw = roles.raw_trips(spark, sf)
-    late = F.col("FARE_AMOUNT").endswith("7")
-    first = (F.col("SOURCE_MONTH") <= CUT_MONTH) & ~late
-    label = F.when(first, CUT_MONTH).otherwise(LAST_DELIVERY)
+    label = _delivery_of(F.col("SOURCE_MONTH"), F.col("FARE_AMOUNT"))
     return raw.withColumn("SOURCE_MONTH", label).select(RAW_TRIPS.names)
 
 
+def _repaired(raw):
+    """A delivery as it passes the gate and the contract.
+
+    Junk is left out, unknown codes are recoded and times given in reverse are swapped.
+    """
+    code, vendor = F.col("RATECODEID"), F.col("VENDORID")
+    times = ("TPEP_PICKUP_DATETIME", "TPEP_DROPOFF_DATETIME")
+    unusual = (code == "1.5") & (F.col("STORE_AND_FWD_FLAG") != "Y")
+    sound = (
+        (vendor != "x")
+        & (F.col("TPEP_PICKUP_DATETIME") != "not a time")
+        & (F.col("FARE_AMOUNT") != "nan")
+        & (F.col("PULOCATIONID") != "24.0")
+        & (F.col("DOLOCATIONID") != "24.0")
+    )
+    return raw.where(sound).withColumns(
+        {
+            "RATECODEID": F.when(code == "0.0", "99.0").when(code == "7.0", "6.0").when(unusual, "2.0").otherwise(code),
+            "VENDORID": F.coalesce(labels.recode(vendor, {"3.0": "1.0", "4.0": "2.0", "5.0": "6.0"}), vendor),
+            "TPEP_PICKUP_DATETIME": F.least(*times),
+            "TPEP_DROPOFF_DATETIME": F.greatest(*times),
+        }
+    )
+
+
 SETTINGS = trip_job.TripSettings(FIRST_DAY, END_DAY, *BAND)
-LENIENT = [
-    quality.not_null("SOURCE_MONTH"),
-    quality.between("FARE_AMOUNT", low=0, mostly=0.5),
-    quality.column_set(RAW_TRIPS.names),
-]
+GATE = contracts.raw_trip_suite(RAW_ROWS, RAW_TRIPS.names)
+CONTRACT = contracts.staged_trips_contract([CUT_MONTH, LAST_DELIVERY])
 
 
-def _run_months(spark, sf, folder, gates):
+def _run_months(spark, sf, folder, deliveries):
+    """One run for each ``(month, repaired)`` behind all 16 checks and the contract."""
     raw, zones = _delivered(spark, sf), roles.raw_zones(spark, sf)
-    for number, (month, checks) in enumerate(gates):
+    for number, (month, repaired) in enumerate(deliveries):
         delivery = raw.where(F.col("SOURCE_MONTH") == month)
         trip_job.run_month(
-            spark, delivery, zones, folder, month, f"run-{number}", checks, SETTINGS
+            spark,
+            _repaired(delivery) if repaired else delivery,
+            zones,
+            folder,
+            month,
+            f"run-{number}",
+            GATE,
+            SETTINGS,
+            CONTRACT,
         )
 
 
+_jobs: dict[tuple[str, str], str] = {}
+
+
+def _trips_job(spark, sf):
+    """Folder of the marts after both deliveries; built once for the queries that read it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _jobs:
+        folder = work_path(spark, "trips")
+        _run_months(spark, sf, folder, [(CUT_MONTH, True), (LAST_DELIVERY, True)])
+        _jobs[key] = folder
+    return _jobs[key]
+
+
 @query
 def trips_end_to_end(spark, sf):
-    folder = work_path(spark, "trips")
-    _run_months(spark, sf, folder, [(CUT_MONTH, LENIENT), (LAST_DELIVERY, LENIENT)])
-    return spark.read.parquet(f"{folder}/mart_daily_revenue").drop("mart_month")
+    return spark.read.parquet(f"{_trips_job(spark, sf)}/mart_daily_revenue").drop("mart_month")
+
+
+@query
+def trips_end_to_end_duration(spark, sf):
+    return spark.read.parquet(f"{_trips_job(spark, sf)}/mart_trip_duration").drop("mart_month")
+
+
+@query
+def trips_end_to_end_zones(spark, sf):
+    return sinks.read_refreshed(spark, f"{_trips_job(spark, sf)}/mart_pickup_zones")
+
+
+@query
+def trips_end_to_end_payment(spark, sf):
+    return sinks.read_refreshed(spark, f"{_trips_job(spark, sf)}/mart_payment_summary")
 
 
 @query
 def gated_publish(spark, sf):
     folder = work_path(spark, "trips")
-    strict = [*LENIENT, quality.not_null("FARE_AMOUNT")]
-    _run_months(spark, sf, folder, [(CUT_MONTH, LENIENT), (LAST_DELIVERY, strict)])
+    _run_months(spark, sf, folder, [(CUT_MONTH, True), (LAST_DELIVERY, False)])
     published = spark.read.parquet(f"{folder}/mart_daily_revenue")
     return published.agg(F.sum("total_trips").alias("published_trips"))
 
@@ -810,19 +954,62 @@ def gated_publish(spark, sf):
 @query
 def run_log(spark, sf):
     folder = work_path(spark, "trips")
-    strict = [*LENIENT, quality.not_null("FARE_AMOUNT")]
-    _run_months(spark, sf, folder, [(CUT_MONTH, strict), (CUT_MONTH, LENIENT)])
+    _run_months(spark, sf, folder, [(CUT_MONTH, False), (CUT_MONTH, True)])
     return spark.read.parquet(f"{folder}/run_log")
 
 
+@query
+def stream_to_marts(spark, sf):
+    """Two deliveries; the run of the second dies between two marts and is repeated."""
+    drop, folder, state = (work_path(spark, name) for name in ("drop", "marts", "state"))
+    zones = roles.zones(spark, sf)
+
+    def dies(spark, tables, prepared, label):
+        trip_job.publish_marts(spark, tables, prepared[:2], label)
+        raise RuntimeError("killed")
+
+    def caught_up(schema, **options):
+        streamed_marts.stream_to_marts(spark, drop, folder, state, zones, SETTINGS, schema=schema, **options)
+
+    first, second = _drop_files(spark, sf, drop).values()
+    first[1].write.parquet(first[0])
+    caught_up(first[1].schema)
+    second[1].write.parquet(second[0])
+    try:
+        caught_up(second[1].schema, publish=dies)
+    except StreamingQueryException as error:
+        if "killed" not in str(error):
+            raise
+    caught_up(second[1].schema)
+    return spark.read.parquet(f"{folder}/mart_daily_revenue").drop("mart_month")
+
+
+ANY_CHANGE = indicators.IndicatorLimits("click", 0.0, 1e15, 1e15)
+
+
 @query
 def indicators_end_to_end(spark, sf):
     landed = _series_documents(spark, sf, _value_text(junk=True))
     names = {name: name for name in SERIES_NAMES}
-    mart = indicators.refresh(spark, landed, work_path(spark, "indicators"), names, RATES)
+    mart = indicators.refresh(spark, landed, work_path(spark, "indicators"), names, RATES, ANY_CHANGE)
     return mart.drop("updated_at")
 
 
+@query
+def indicators_gated(spark, sf):
+    """A second delivery with impossible values is not published."""
+    names = {name: name for name in SERIES_NAMES}
+    folder, text = work_path(spark, "indicators"), _value_text(junk=True)
+    indicators.refresh(spark, _series_documents(spark, sf, text), folder, names, RATES, ANY_CHANGE)
+    negative = F.concat(F.lit("-"), F.col("value").cast("string"))
+    broken = _series_documents(spark, sf, F.when(F.col("series_id") == "click", negative).otherwise(text))
+    try:
+        indicators.refresh(spark, broken, folder, names, RATES, ANY_CHANGE)
+    except AuditFailed:
+        return sinks.read_refreshed(spark, f"{folder}/mart_economic_indicators").drop("updated_at")
+    raise AssertionError("a mart outside its limits was published")
+
+
 @query
 def snapshot_end_to_end(spark, sf):
     series = work_path(spark, "series_documents")
@@ -843,7 +1030,7 @@ def snapshot_end_to_end(spark, sf):
         .text(series)
     )
     country = _country_documents(spark, sf)
-    names = {identifier: identifier for identifier in US_COLUMNS.values()}
+    names = {identifier: identifier for identifier in PRIORITIES}
     folder = work_path(spark, "snapshot")
     for _ in range(2):
         mart = snapshot.refresh(
@@ -853,6 +1040,7 @@ def snapshot_end_to_end(spark, sf):
             folder,
             series_names=names,
             indicator_names=INDICATOR_NAMES,
+            country_codes=[str(code) for code in range(roles.ZONE_COUNT)],
             country_columns=COUNTRY_COLUMNS,
             us_columns=US_COLUMNS,
             load_after_year=1994,
