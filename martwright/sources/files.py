@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +55,69 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     )
 
 
+#: Types whose bounds every parquet footer can give. NaN leaves a file without those of
+#: doubles, texts may be cut off in footers, and Spark does not ask for those of timestamps.
+BOUNDED_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+@contextmanager
+def footer_aggregates(spark: SparkSession) -> Iterator[None]:
+    """Let counts and bounds that a query asks for be read from parquet footers.
+
+    Only Spark's second generation of sources does that, so it is switched on for
+    parquet as long as the block lasts; plan and run the query inside.
+    """
+    sources = [name for name in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if name != "parquet"]
+    wanted = {"spark.sql.sources.useV1SourceList": ",".join(sources), "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _bounds(columns: Sequence[str]) -> list[Column]:
+    return [F.count("*").alias("n_rows")] + [
+        bound(name).alias(f"{label}_{name}") for name in columns for label, bound in (("min", F.min), ("max", F.max))
+    ]
+
+
+def profile_files(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, columns: Sequence[str]
+) -> DataFrame:
+    """One row: ``n_rows``, and ``min_`` and ``max_`` of each column, reading as little as possible.
+
+    Row count and bounds of whole numbers and dates come from the footers, so the cost
+    goes with the number of files and not of rows. Other columns are scanned, by
+    themselves; so is everything if a file was written without bounds.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    bounded = [name for name in columns if isinstance(schema[name].dataType, BOUNDED_TYPES)]
+    scanned = [name for name in columns if name not in bounded]
+    with footer_aggregates(spark):
+        told = spark.read.schema(schema).parquet(*paths).agg(*_bounds(bounded))
+        try:
+            rows = told.collect()
+        except (PySparkException, Py4JJavaError) as error:
+            if "aggregatePushdown" not in str(error):
+                raise
+            rows = None
+    files = spark.read.schema(schema).parquet(*paths)
+    if rows is None:
+        return files.agg(*_bounds(columns))
+    known = rows[0].asDict()
+    bounds = files.agg(*_bounds(scanned)) if scanned else spark.range(1)
+    kinds = {field.name: field.dataType for field in told.schema}
+    cells = [
+        F.lit(known[name]).cast(kinds[name]).alias(name) if name in known else F.col(name)
+        for name in ["n_rows", *[f"{label}_{name}" for name in columns for label in ("min", "max")]]
+    ]
+    return bounds.select(*cells)
+
+
 def upper_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.upper() for name in df.columns])
 

@@ -1,6 +1,8 @@
 import os
-from datetime import date
+from datetime import date, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,3 +233,28 @@ def test_month_of_a_name(path, month):
     assert landing.month_named(path) == month
     with pytest.raises(ValueError):
         landing.month_named("/data/trips_202511.parquet")
+
+
+def test_bounds_of_whole_numbers_come_from_the_footers(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(0, 1000, 1, 4).select(
+        "id", (F.col("id") % 7).cast("int").alias("n"), F.date_add(F.lit(date(2025, 1, 1)), F.col("id").cast("int")).alias("day"),
+        F.when(F.col("id") == 5, float("nan")).otherwise(F.col("id") / 2).alias("v"),
+    ).write.parquet(path)
+    layout = spark.read.parquet(path).schema
+    with files.footer_aggregates(spark):
+        df = spark.read.schema(layout).parquet(path).agg(*files._bounds(["id", "n", "day"]))
+        text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id), MIN(n), MAX(n), MIN(day), MAX(day)]" in text
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    row = files.profile_files(spark, path, layout, ["v", "id", "day"]).first()
+    assert (row.n_rows, row.min_id, row.max_id, row.min_v) == (1000, 0, 999, 0.0)
+    assert row.max_day == date(2025, 1, 1) + timedelta(days=999) and row.max_v != row.max_v
+    assert files.profile_files(spark, path, layout, []).collect() == [(1000,)]
+
+
+def test_files_without_bounds_are_scanned(spark, tmp_path):
+    pq.write_table(pa.table({"id": list(range(50))}), str(tmp_path / "plain.parquet"), write_statistics=False)
+    layout = spark.read.parquet(str(tmp_path)).schema
+    row = files.profile_files(spark, str(tmp_path), layout, ["id"]).first()
+    assert tuple(row) == (50, 0, 49)

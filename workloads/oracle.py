@@ -327,6 +327,10 @@ O = ORACLE_SQL
 
 O["scan_fact"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
     l_extendedprice FROM lineitem"""
+O["profile_files"] = "SELECT count(*) AS n_rows, " + ", ".join(
+    f"min({c}) AS min_{c}, max({c}) AS max_{c}"
+    for c in ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+) + " FROM lineitem"
 O["rows_per_file"] = " UNION ALL ".join(
     f"SELECT '{name}.parquet' AS file_name, count(*) AS n_rows FROM {name}"
     for name in ("customer", "orders", "lineitem", "events")

@@ -123,6 +123,12 @@ def rows_per_file(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+@query
+def profile_files(spark, sf):
+    columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    return files.profile_files(spark, roles.table_path(sf, "lineitem"), roles.layout("lineitem"), columns)
+
+
 @query
 def scan_csv_dim(spark, sf):
     key = F.col("location_id")
