@@ -144,8 +144,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     small_batches(pairs.sparkSession)
     both = pairs.select("center", "member")
     for name in ("member", "center"):
-        told = texts.select(F.col("set_key").alias("_key"), F.col("text").alias(f"{name}_text"))
-        both = both.join(told, F.col(f"{name}.set_key") == F.col("_key")).drop("_key")
+        both = both.join(texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text")), name)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, center = None, np.empty(0, np.uint64)
@@ -212,30 +211,27 @@ def _rare_pairs(entries: DataFrame, texts: DataFrame, labels: DataFrame) -> Data
     the first common shingle in either set must hold the whole overlap, so that shingle
     ranks low in both, and lowest in the smaller one; what many texts share ranks high.
     """
-    members = entries.select("member").distinct()
-    members = stored(
-        _labelled(members, labels, "member").withColumn("number", F.monotonically_increasing_id()), "members"
-    )
+    members = stored(_labelled(entries.select("member").distinct(), labels, "member"), "members")
 
     def shingled(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = pa.array([shingle_set(t).view(np.int64) for t in texts_of(batch.column(1))], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column(0), found], names=["number", "shingles"])
+        return pa.RecordBatch.from_arrays([batch.column(0), found], names=["member", "shingles"])
 
-    told = members.select("number", "member.set_key").join(texts, "set_key").select("number", "text")
-    sets = stored(map_batches(told, shingled, "number long, shingles array<long>"), "sets")
-    each = sets.select("number", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
+    told = members.join(texts, F.col("member") == F.col("node")).select("member", "text")
+    sets = stored(map_batches(told, shingled, "member long, shingles array<long>"), "sets")
+    each = sets.select("member", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("shingle"))
     often = each.groupBy("shingle").agg(F.count("*").alias("often"))
-    rank = F.row_number().over(Window.partitionBy("number").orderBy("often", "shingle")).cast("long")
+    rank = F.row_number().over(Window.partitionBy("member").orderBy("often", "shingle")).cast("long")
     ranked = each.join(often, "shingle").withColumn("rank", rank).where("often > 1")
-    ranked = ranked.where(f"100 * (n - rank + 1) >= {PERCENT} * n").select("number", "n", "shingle", "rank")
-    prefixes = stored(ranked.join(members, "number"), "prefixes")
+    ranked = ranked.where(f"100 * (n - rank + 1) >= {PERCENT} * n").select("member", "n", "shingle", "rank")
+    prefixes = stored(ranked.join(members, "member"), "prefixes")
     x = prefixes.where(f"{100 + PERCENT} * (n - rank + 1) >= {2 * PERCENT} * n").select(
         "shingle", F.col("member").alias("center"), F.col("member_in").alias("center_in"),
-        F.col("number").alias("x_number"), F.col("n").alias("x_n"), F.col("rank").alias("x_rank"),
+        F.col("n").alias("x_n"), F.col("rank").alias("x_rank"),
     )
     return (
         prefixes.join(x, "shingle")
-        .where("member_in != center_in and (x_n < n or x_n = n and x_number < number)")
+        .where("member_in != center_in and (x_n < n or x_n = n and center < member)")
         .where(f"{100 + PERCENT} * (1 + least(n - rank, x_n - x_rank)) >= {PERCENT} * (n + x_n)")
         .select("center", "member")
         .distinct()
@@ -264,20 +260,24 @@ def judged(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     """The rows of ``near_duplicates`` with the key of each row's set in ``set_key``.
 
     The key is null for rows that are linked with nothing. A node is a set with the
-    smallest id that holds it, so different texts under one id stay different nodes.
+    smallest id that holds it, so different texts under one id stay different nodes. Nodes
+    are numbered in order of id and key; everything but the texts goes by these numbers.
     """
     linked = F.when(F.col("id").isNotNull(), F.col("set_key"))
     signed = stored(signatures(docs, id, text).withColumn("set_key", linked), "signatures")
     linkable = signed.where("set_key is not null")
     nodes = linkable.groupBy("set_key").agg(F.min("id").alias("id"), F.min_by("bands", "id").alias("bands"))
-    nodes = stored(nodes.select(F.struct("id", "set_key").alias("node"), "bands"), "nodes")
+    # In a sorted table these numbers follow the order; stored, they stay.
+    nodes = stored(nodes.orderBy("id", "set_key").withColumn("node", F.monotonically_increasing_id()), "nodes")
     entries = stored(nodes.select(F.col("node").alias("member"), F.explode("bands").alias("band")), "entries")
     stars = stored(_stars(entries, 0), "pairs")
     # Only texts of documents that share a bucket are ever compared.
-    involved = stars.select("member.id").unionByName(stars.select("center.id"))
+    involved = stars.select("member").unionByName(stars.select(F.col("center").alias("member"))).distinct()
+    involved = nodes.join(involved, F.col("node") == F.col("member")).select("node", "id", "set_key")
     told = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    told = with_set_keys(told.join(involved.distinct(), "id", "left_semi").select("text"))
-    texts = stored(told.where("set_key is not null").groupBy("set_key").agg(F.min("text").alias("text")), "texts")
+    told = with_set_keys(told.join(involved.select("id").distinct(), "id", "left_semi").select("text"))
+    told = told.where("set_key is not null").groupBy("set_key").agg(F.min("text").alias("text"))
+    texts = stored(told.join(involved, "set_key").select("node", "text"), "texts")
     closest = F.max_by("center", F.struct("shared", F.xxhash64("center")))
     first = stars.groupBy("member").agg(closest.alias("center"))
     labels = components(_confirmed(first, texts))
@@ -295,15 +295,17 @@ def judged(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
         links = stored(_confirmed(_rare_pairs(entries, texts, labels), texts), "links")
         if links.limit(1).count():
             labels = _joined(labels, links)
-    named = nodes.join(labels.select(F.col("id").alias("node"), "component"), "node", "left").select(
-        "node.set_key", F.coalesce("component", "node").alias("component")
-    )
-    smallest = (F.col("id") == F.col("component.id")) & (F.col("set_key") == F.col("component.set_key"))
+    # A set without links is a component of its own.
+    named = nodes.select("node", "set_key").join(labels.select(F.col("id").alias("node"), "component"), "node", "left")
+    named = named.withColumn("component", F.coalesce("component", "node"))
+    heads = nodes.select(F.col("node").alias("component"), F.col("id").alias("head_id"), F.col("set_key").alias("head_key"))
+    named = named.join(heads, "component").select("set_key", "head_id", "head_key")
+    smallest = (F.col("id") == F.col("head_id")) & (F.col("set_key") == F.col("head_key"))
     return signed.join(named, "set_key", "left").select(
         F.col("id").alias(id),
         "n_shingles",
         "set_key",
-        F.coalesce("component.id", "id").alias("component_id"),
+        F.coalesce("head_id", "id").alias("component_id"),
         F.coalesce(smallest, F.lit(True)).alias("kept"),
     )
 
