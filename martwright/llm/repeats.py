@@ -29,6 +29,8 @@ UNIT_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20
 #: Pieces compared in one transform; more are compared anchor by anchor in turn.
 TRANSFORM_BYTES = 2 << 20
+#: Bytes hashed at once, eight times as much in memory.
+HASHED_BYTES = 1 << 20
 SEPARATOR = 0xFF
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -43,15 +45,41 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def stretch_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the ``ANCHOR`` bytes at every place, by doubling."""
+def stretch_hashes(data: np.ndarray, wanted: int = ANCHOR) -> np.ndarray:
+    """Hash of the ``wanted`` bytes, a power of two, at every place, by doubling."""
     hashes, size = data.astype(np.uint64) * _ODD[0], 1
-    while size < ANCHOR:
+    while size < wanted:
         hashes = _mix(hashes[:-size], hashes[size:])
         size *= 2
     return hashes
 
 
+def stretches_at(data: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """``stretch_hashes`` at some places, a block of the data at a time.
+
+    Where the stretches have fewer bytes than the block, only they are hashed.
+    """
+    order = np.argsort(places, kind="stable") if np.any(places[1:] < places[:-1]) else None
+    ascending = places if order is None else places[order]
+    found = np.empty(len(places), np.uint64)
+    for at in range(0, len(data), HASHED_BYTES):
+        low, high = np.searchsorted(ascending, (at, at + HASHED_BYTES))
+        inside = ascending[low:high]
+        if len(inside) * size > min(HASHED_BYTES, len(data) - at):
+            found[low:high] = stretch_hashes(data[at : at + HASHED_BYTES + size - 1], size)[inside - at]
+        elif len(inside):
+            hashes, step = data[inside[:, None] + np.arange(size)].astype(np.uint64) * _ODD[0], 1
+            while step < size:
+                hashes = _mix(hashes[:, :-step], hashes[:, step:])
+                step *= 2
+            found[low:high] = hashes[:, 0]
+    if order is None:
+        return found
+    out = np.empty_like(found)
+    out[order] = found
+    return out
+
+
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     size = 1
     while size * 2 <= width:
@@ -72,27 +100,18 @@ class Pieces:
     def __len__(self) -> int:
         return len(self.begin)
 
-    def take(self, rows: np.ndarray) -> Pieces:
+    def take(self, rows: np.ndarray | slice) -> Pieces:
         return Pieces(self.data, *(x[rows] for x in (self.begin, self.size, self.mark, self.doc, self.at)))
 
-    def _stretch(self, place: np.ndarray, size: int) -> np.ndarray:
-        """Hash of ``size`` bytes from each place, as ``stretch_hashes`` has it."""
-        x = self.data[place[:, None] + np.arange(size)].astype(np.uint64) * _ODD[0]
-        step = 1
-        while step < size:
-            x = _mix(x[:, :-step], x[:, step:])
-            step *= 2
-        return x[:, 0]
-
     def anchors(self) -> np.ndarray:
-        return self._stretch(self.begin + self.mark, ANCHOR)
+        return stretches_at(self.data, self.begin + self.mark, ANCHOR)
 
     def keys(self) -> np.ndarray:
         """Hash of all the bytes of each piece: three overlapping stretches and the size."""
         wide = 2 * ANCHOR
         key = self.size.astype(np.uint64)
         for place in (0, (self.size - wide) // 2, self.size - wide):
-            key = _mix(key, self._stretch(self.begin + place, wide))
+            key = _mix(key, stretches_at(self.data, self.begin + place, wide))
         return key
 
     def bytes(self) -> np.ndarray:
@@ -129,9 +148,11 @@ def cut_pieces(docs: list[tuple[int, int, bytes]]) -> Pieces:
     first = np.flatnonzero(fresh)
     size = np.diff(np.append(first, len(place))) + MIN_BYTES - 1
     begin, own = place[first], owner[first]
-    mark = np.zeros(len(first), np.int64)
-    for step in range(WINDOW - 1, -1, -1):
-        mark[hashes[begin + step] == anchors[first]] = step
+    mark, looking = np.zeros(len(first), np.int64), np.arange(len(first))
+    for step in range(WINDOW):
+        there = hashes[begin[looking] + step] == anchors[first[looking]]
+        mark[looking[there]] = step
+        looking = looking[~there]
     ids = np.array([d for d, *_ in docs], np.int64)
     offsets = np.array([o for _, o, _ in docs], np.int64)
     return Pieces(data, begin, size, mark, ids[own], begin - begins[own] + offsets[own])
@@ -372,7 +393,8 @@ def _cut(buckets: int):
             bucket = (_mix(anchor, anchor) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = [(b, False, pack(pieces.take(order[x:y]))) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
+            dealt = pieces.take(order)
+            rows = [(b, False, pack(dealt.take(slice(x, y)))) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
             if len(repeats):
                 found = cuts.take(repeats)
                 spread = xxhash.xxh32_intdigest(repr(unit[0][:2])) % buckets
