@@ -13,17 +13,26 @@ from martwright.sources.files import upper_names
 
 
 #: The month that a delivery is named after: the last ``YYYY-MM`` in its path.
-MONTH_IN_NAME = r"^.*(?<![0-9])([0-9]{4}-[0-9]{2})(?![0-9])"
+MONTH_IN_NAME = r"^.*(?<![0-9])([0-9]{4}-(?:0[1-9]|1[0-2]))(?![0-9])"
+#: Writers put random ids into the names of part files, and some digits of an id look like a month.
+RANDOM_ID = r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
 
 
 def month_named(path: str) -> str:
     """Month in the name of a delivery. Its rows cannot tell: they hold stray pickups of others."""
-    found = re.match(MONTH_IN_NAME, path)
+    found = re.match(MONTH_IN_NAME, re.sub(RANDOM_ID, "_", path))
     if found is None:
         raise ValueError(f"no month in the name of {path}")
     return found.group(1)
 
 
+def month_in(path: Column) -> Column:
+    """``month_named`` of a column; a path without a month fails the job."""
+    found = F.regexp_extract(F.regexp_replace(path, RANDOM_ID, "_"), MONTH_IN_NAME, 1)
+    unnamed = F.raise_error(F.concat(F.lit("no month in the name of "), path)).cast("string")
+    return F.when(found != "", found).otherwise(unnamed)
+
+
 def stringify(
     df: DataFrame, source_month: str | Column, month_column: str = "SOURCE_MONTH"
 ) -> DataFrame:

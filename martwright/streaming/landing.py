@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.schemas import TRIP_FILE
-from martwright.sources.landing import MONTH_IN_NAME, stringify
+from martwright.sources.landing import month_in, stringify
 from martwright.sources.sinks import read_if_exists
 
 #: Files that one batch adds to a month at most.
@@ -27,10 +27,7 @@ def new_files(
         .option("maxFilesPerTrigger", max_files)
         .parquet(drop_folder)
     )
-    path = F.col("_metadata.file_path")
-    found = F.regexp_extract(path, MONTH_IN_NAME, 1)
-    unnamed = F.raise_error(F.concat(F.lit("no month in the name of "), path)).cast("string")
-    return stringify(files, F.when(found != "", found).otherwise(unnamed))
+    return stringify(files, month_in(F.col("_metadata.file_path")))
 
 
 def land_new_files(

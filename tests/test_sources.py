@@ -235,6 +235,24 @@ def test_month_of_a_name(path, month):
         landing.month_named("/data/trips_202511.parquet")
 
 
+def test_random_ids_in_file_names_are_no_months(spark, tmp_path):
+    ids = ["3b1f0c9e-1998-41ab-9a3e-0c1d2e3f4a5b", "aabb1998-12cd-4e5f-8a9b-0c1d2e3f4a5b", "0a1b2c3d-4e5f-4711-2001-07abcdef0123"]
+    drop, table, state = (str(tmp_path / name) for name in ("drop", "table", "state"))
+    rows = spark.range(3).select("id")
+    for number, found in enumerate(ids):
+        folder = tmp_path / "drop" / f"trips_2025-1{number}.parquet"
+        folder.mkdir(parents=True)
+        file = folder / f"part-00000-{found}-c000.snappy.parquet"
+        pq.write_table(pa.table({"id": [1, 2, 3]}), file)
+        assert landing.month_named(str(file)) == f"2025-1{number}"
+    assert land_new_files(spark, drop, table, state, rows.schema) == 9
+    stored = spark.read.parquet(table).groupBy("SOURCE_MONTH").count()
+    assert dict(stored.collect()) == {"2025-10": 3, "2025-11": 3, "2025-12": 3}
+    pq.write_table(pa.table({"id": [1]}), tmp_path / "drop" / f"trips-{ids[2]}.parquet")
+    with pytest.raises(Exception, match="no month in the name of"):
+        land_new_files(spark, drop, table, state, rows.schema)
+
+
 def test_bounds_of_whole_numbers_come_from_the_footers(spark, tmp_path):
     path = str(tmp_path / "facts")
     spark.range(0, 1000, 1, 4).select(
