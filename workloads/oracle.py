@@ -891,7 +891,15 @@ USES["job_valid"] = ["job_typed"]
 CTES["job_joined"] = """SELECT t.*, borough AS pickup_borough, zone AS pickup_zone FROM job_valid t
     LEFT JOIN zones ON pickup_location_id = location_id"""
 USES["job_joined"] = ["job_valid", "zones"]
-O["trips_end_to_end"] = sql(revenue_from("job_joined"), "job_joined")
+CTES["mended"] = CTES["repaired"].split(" WHERE ")[0]
+USES["mended"] = ["raw"]
+CTES["whole_typed"] = CTES["typed"].replace("FROM raw", "FROM mended")
+USES["whole_typed"] = ["mended"]
+CTES["whole_valid"] = CTES["typed_valid"].replace("FROM typed", "FROM whole_typed")
+USES["whole_valid"] = ["whole_typed"]
+CTES["whole_joined"] = CTES["job_joined"].replace("FROM job_valid", "FROM whole_valid")
+USES["whole_joined"] = ["whole_valid", "zones"]
+O["trips_end_to_end"] = sql(revenue_from("whole_joined"), "whole_joined")
 O["trips_end_to_end_duration"] = sql(CTES["durations"].replace("FROM joined", "FROM job_joined"), "job_joined")
 O["trips_end_to_end_zones"] = sql(CTES["zone_hours"].replace("FROM short", "FROM job_joined"), "job_joined")
 O["trips_end_to_end_payment"] = sql(CTES["payments"].replace("FROM valid", "FROM job_valid"), "job_valid")
