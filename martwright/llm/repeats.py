@@ -29,8 +29,8 @@ UNIT_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20
 #: Pieces compared in one transform; more are compared anchor by anchor in turn.
 TRANSFORM_BYTES = 2 << 20
-#: Bytes hashed at once, eight times as much in memory.
-HASHED_BYTES = 1 << 20
+#: Places hashed at once, a multiple of 64: few enough that their numbers stay in a core's cache.
+HASHED_PLACES = 1 << 14
 SEPARATOR = 0xFF
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -45,39 +45,39 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def stretch_hashes(data: np.ndarray, wanted: int = ANCHOR) -> np.ndarray:
-    """Hash of the ``wanted`` bytes, a power of two, at every place, by doubling."""
-    hashes, size = data.astype(np.uint64) * _ODD[0], 1
-    while size < wanted:
-        hashes = _mix(hashes[:-size], hashes[size:])
-        size *= 2
-    return hashes
+def _words(data: np.ndarray, kind: str = "<u8") -> np.ndarray:
+    """The eight bytes from every place on as one number, without a copy."""
+    return np.ndarray((max(0, len(data) - 7),), kind, data, strides=(1,))
+
+
+def _hash_of(words: list[np.ndarray]) -> np.ndarray:
+    while len(words) > 1:
+        words = [_mix(a, b) for a, b in zip(words[::2], words[1::2])]
+    return words[0]
 
 
 def stretches_at(data: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
-    """``stretch_hashes`` at some places, a block of the data at a time.
+    """Hash of the ``size`` bytes, 8 times a power of two, from each place on."""
+    words = _words(data)
+    return _hash_of([words[places + at] for at in range(0, size, 8)])
+
 
-    Where the stretches have fewer bytes than the block, only they are hashed.
+def least_stretches(data: np.ndarray, places: int) -> np.ndarray:
+    """Least hash of the stretches that begin in the window of each place.
+
+    Its last six bits tell the place of the stretch, as the remainder by 64; those of the
+    hash are dropped. ``data`` reaches a passage beyond the last place.
     """
-    order = np.argsort(places, kind="stable") if np.any(places[1:] < places[:-1]) else None
-    ascending = places if order is None else places[order]
-    found = np.empty(len(places), np.uint64)
-    for at in range(0, len(data), HASHED_BYTES):
-        low, high = np.searchsorted(ascending, (at, at + HASHED_BYTES))
-        inside = ascending[low:high]
-        if len(inside) * size > min(HASHED_BYTES, len(data) - at):
-            found[low:high] = stretch_hashes(data[at : at + HASHED_BYTES + size - 1], size)[inside - at]
-        elif len(inside):
-            hashes, step = data[inside[:, None] + np.arange(size)].astype(np.uint64) * _ODD[0], 1
-            while step < size:
-                hashes = _mix(hashes[:, :-step], hashes[:, step:])
-                step *= 2
-            found[low:high] = hashes[:, 0]
-    if order is None:
-        return found
-    out = np.empty_like(found)
-    out[order] = found
-    return out
+    least = np.empty(places, np.uint64)
+    marks = np.arange(HASHED_PLACES + WINDOW - 1, dtype=np.uint64) & np.uint64(63)
+    for at in range(0, places, HASHED_PLACES):
+        till = min(places, at + HASHED_PLACES)
+        words = _words(data[at : till + MIN_BYTES - 1])
+        hashes = _hash_of([words[:-8].copy(), words[8:]])
+        hashes &= ~np.uint64(63)
+        hashes |= marks[: len(hashes)]
+        least[at:till] = _sliding_least(hashes, WINDOW)
+    return least
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -133,26 +133,26 @@ def cut_pieces(docs: list[tuple[int, int, bytes]]) -> Pieces:
     """
     sizes = np.array([len(d) for *_, d in docs], np.int64)
     data = np.frombuffer(b"".join(d for *_, d in docs) + b"\xff" * LONGEST, np.uint8)
+    total = len(data) - LONGEST
     begins = np.cumsum(sizes) - sizes
-    hashes = stretch_hashes(data)
-    least = _sliding_least(hashes, WINDOW)
-    starts = np.maximum(0, sizes - MIN_BYTES + 1)
-    owner, place = np.repeat(np.arange(len(docs)), starts), _ranges(begins, starts)
-    anchors = least[place]
-    fresh = np.ones(len(place), bool)
-    fresh[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:] != owner[:-1])
-    # A text that repeats itself would keep one anchor for long; such runs are cut.
+    ends = begins + np.maximum(0, sizes - MIN_BYTES + 1)
+    least = least_stretches(data, total)
+    fresh = np.zeros(total + 1, bool)
+    np.greater(least[1:] ^ least[:-1], np.uint64(63), out=fresh[1:total])
+    # No passage starts in the last bytes of a text: they are a run that is left out.
+    fresh[_ranges(ends, begins + sizes - ends)] = False
+    fresh[begins] = fresh[ends] = fresh[total] = True
     first = np.flatnonzero(fresh)
-    run = np.arange(len(place)) - np.repeat(first, np.diff(np.append(first, len(place))))
-    fresh |= (run > 0) & (run % WINDOW == 0)
-    first = np.flatnonzero(fresh)
-    size = np.diff(np.append(first, len(place))) + MIN_BYTES - 1
-    begin, own = place[first], owner[first]
-    mark, looking = np.zeros(len(first), np.int64), np.arange(len(first))
-    for step in range(WINDOW):
-        there = hashes[begin[looking] + step] == anchors[first[looking]]
-        mark[looking[there]] = step
-        looking = looking[~there]
+    length = np.diff(first)
+    own = np.searchsorted(begins, first[:-1], side="right") - 1
+    whole = np.flatnonzero(first[:-1] < ends[own])
+    first, length, own = first[whole], length[whole], own[whole]
+    # A text that repeats itself would keep one anchor for long; such runs are cut.
+    cuts = -(-length // WINDOW)
+    skip = _ranges(np.zeros(len(cuts), np.int64), cuts) * WINDOW
+    begin, own = np.repeat(first, cuts) + skip, np.repeat(own, cuts)
+    size = np.minimum(np.repeat(length, cuts) - skip, WINDOW) + MIN_BYTES - 1
+    mark = (least[begin].astype(np.int64) - begin) & 63
     ids = np.array([d for d, *_ in docs], np.int64)
     offsets = np.array([o for _, o, _ in docs], np.int64)
     return Pieces(data, begin, size, mark, ids[own], begin - begins[own] + offsets[own])
@@ -192,17 +192,14 @@ def _suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     Ranks of 8 bytes are doubled until they cover the minimum length.
     """
     n = len(data)
-    padded = np.append(data, np.full(8, SEPARATOR, np.uint8)).astype(np.uint64)
-    key = padded[:-1] << np.uint64(8) | padded[1:]
-    key = key[:-2] << np.uint64(16) | key[2:]
-    key = (key[:-4] << np.uint64(32) | key[4:])[:n]
+    key = _words(np.append(data, np.full(7, SEPARATOR, np.uint8)), ">u8").astype(np.uint64)
     order = np.argsort(key).astype(np.int32)
     ordered = key[order]
     differ = ordered[1:] ^ ordered[:-1]
-    shared = np.full(n + 1, -1, np.int8)
-    shared[0] = shared[n] = 0
-    for size in range(7, -1, -1):
-        shared[1:n][differ >> np.uint64(56 - 8 * size) != 0] = size
+    shared = np.zeros(n + 1, np.int8)
+    for size in range(1, 8):
+        shared[1:n] += differ < np.uint64(1 << (64 - 8 * size))
+    shared[1:n][differ == 0] = -1
     size = 8
     while size < MIN_BYTES:
         fresh = np.append(0, ordered[1:] != ordered[:-1])

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -145,6 +146,38 @@ def test_common_prefixes_equal_direct_comparison():
         assert shared[k] == same
 
 
+def test_pieces_hold_every_passage_once_and_equal_passages_share_an_anchor(monkeypatch):
+    monkeypatch.setattr(repeats, "HASHED_PLACES", 128)
+    r = random.Random(4)
+    texts = [bytes(r.choice(b"abcdefgh ") for _ in range(size)) for size in (50, 51, 83, 84, 85, 700, 49, 0, 1)]
+    texts += [b"x" * 400, b"ab" * 90, texts[5][100:400], b"yy" + texts[5][37:], b"x" * 50]
+    pieces = repeats.cut_pieces([(i, 1000 * i, t) for i, t in enumerate(texts)])
+    anchors, seen, by_passage = pieces.anchors(), [], {}
+    for k in range(len(pieces)):
+        doc, at, size, begin = int(pieces.doc[k]), int(pieces.at[k]), int(pieces.size[k]), int(pieces.begin[k])
+        at -= 1000 * doc
+        assert repeats.MIN_BYTES <= size <= repeats.LONGEST
+        assert pieces.data[begin : begin + size].tobytes() == texts[doc][at : at + size]
+        for start in range(at, at + size - repeats.MIN_BYTES + 1):
+            seen.append((doc, start))
+            by_passage.setdefault(texts[doc][start : start + repeats.MIN_BYTES], set()).add(int(anchors[k]))
+    assert sorted(seen) == [(i, p) for i, t in enumerate(texts) for p in range(len(t) - repeats.MIN_BYTES + 1)]
+    assert all(len(found) == 1 for found in by_passage.values())
+
+
+def test_hashes_of_a_unit_stay_small():
+    r = np.random.default_rng(3)
+    text = r.integers(97, 123, 1 << 20, dtype=np.uint8).tobytes()
+    tracemalloc.start()
+    try:
+        repeats.cut_pieces([(1, 0, text)])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # One hash of eight bytes for each place, and what tells neighbours apart.
+    assert peak < 32 * len(text)
+
+
 def test_large_transforms_are_split_by_anchor(spark, monkeypatch):
     monkeypatch.setattr(repeats, "TRANSFORM_BYTES", 300)
     monkeypatch.setattr(repeats, "UNIT_BYTES", 900)
