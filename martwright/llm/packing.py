@@ -10,67 +10,119 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import map_batches, small_batches, stored, texts_of
+from martwright.llm.common import map_batches, small_batches, stored
 
 CAPACITY = 4096
 OPEN_BINS = 256
 PIECES_PER_TASK = 200_000
-KEPT_CHUNKS = 400_000
+#: Chunks and words whose ids a worker keeps.
+KEPT_CHUNKS = 800_000
+#: Text whose chunks are looked up together.
+STRETCH_BYTES = 4 << 20
 
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Chunks whose letters have one spelling each: composed, and lower-cased one by one.
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """What a byte-level vocabulary writes for letters beyond ASCII: one letter for each byte."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    letters = {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(others)}
+    return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+class Known(dict):
+    """Values by key, worked out when first asked for; emptied when full."""
+
+    def __init__(self, function: Callable[[str], bytes], longest: int = 100):
+        self.function, self.longest = function, longest
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.function(key)
+        if len(key) < self.longest:
+            if len(self) >= KEPT_CHUNKS:
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordEncoder:
     """Token ids of the tokenizers library for a file that drops white space.
 
     No word spans a blank or a line break, so the ids of a text are those of its
-    chunks between them, in order; chunks repeat and are encoded once.
+    chunks between them, in order; chunks and words repeat and are encoded once.
     """
 
+    BYTE_LETTERS = _byte_letters()
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, list[int]] = {}
-        self.special = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.known = Known(self.encoded)
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or "(?!)")
+
+    def word(self, word: str) -> bytes:
+        spelled = word if word.isascii() else word.translate(self.BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def encoded(self, chunk: str) -> bytes:
-        plain = chunk.isascii() and chunk.isprintable() and not any(s in chunk for s in self.special)
-        if not plain:
+        if not chunk:
+            return b""
+        if PLAIN.fullmatch(chunk) is None or self.special.search(chunk) is not None:
             return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
-        ids: list[int] = []
-        for word in ASCII_WORDS.findall(chunk.lower()):
-            known = self.words.get(word)
-            if known is None:
-                if len(self.words) >= KEPT_CHUNKS:
-                    self.words.clear()
-                known = self.words[word] = [t.id for t in self.model.tokenize(word)]
-            ids += known
-        return array("I", ids).tobytes()
+        lower = chunk.lower()
+        words = [lower] if chunk.isalpha() else PLAIN_WORDS.findall(lower)
+        if words == [chunk]:
+            return self.word(chunk)
+        if lower != chunk and self.special.search(lower) is not None:
+            return b"".join(map(self.word, words))
+        return b"".join(map(self.known.__getitem__, words))
+
+    def texts(self, column: pa.Array) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, null being empty.
+
+        Looking up every chunk by itself costs more than encoding the new ones, so each
+        stretch of the column looks up its different chunks.
+        """
+        column = pc.fill_null(column, "")
+        ends = np.cumsum(pc.binary_length(column).to_numpy())
+        at = 0
+        while at < len(column):
+            held = ends[at - 1] if at else 0
+            till = max(at + 1, int(np.searchsorted(ends, held + STRETCH_BYTES, side="right")))
+            yield from self._stretch(column.slice(at, till - at))
+            at = till
+
+    def _stretch(self, column: pa.Array) -> Iterator[bytes]:
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        told = split.flatten().dictionary_encode()
+        different = list(map(self.known.__getitem__, told.dictionary.to_pylist()))
+        ids = pa.array(different, pa.large_binary()).take(told.indices)
+        places = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])
+        chunks = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        _, offsets, data = ids.buffers()
+        begin = int(np.frombuffer(offsets, np.int64, 1, 8 * ids.offset)[0])
+        edges = (places[chunks] + begin).tolist()
+        whole = memoryview(data or b"")
+        for a, b in zip(edges, edges[1:]):
+            yield bytes(whole[a:b])
 
     def text(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        chunks, parts = self.chunks, []
-        for chunk in text.replace("\n", " ").split(" "):
-            ids = chunks.get(chunk)
-            if ids is None:
-                ids = self.encoded(chunk)
-                if len(chunk) < 100:
-                    if len(chunks) >= KEPT_CHUNKS:
-                        chunks.clear()
-                        chunks[""] = b""
-                    chunks[chunk] = ids
-            parts.append(ids)
-        return b"".join(parts)
+        return next(self.texts(pa.array([text], pa.string())))
 
 
 @lru_cache(maxsize=4)
@@ -136,10 +188,9 @@ def token_pieces(
         fields.append(("ids", pa.list_(pa.int32())))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encode = encoder(path).text
         rows, pieces, starts, sizes, sums, ids = [], [], [], [], [], []
-        for row, body in enumerate(texts_of(batch.column(1))):
-            data = encode(body) + closing
+        for row, data in enumerate(encoder(path).texts(batch.column(1))):
+            data += closing
             for piece, at in enumerate(range(0, len(data), capacity * 4)):
                 part = data[at : at + capacity * 4]
                 rows.append(row)

@@ -5,6 +5,7 @@ import zlib
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -61,6 +62,37 @@ def test_word_ids_equal_the_library():
         assert array("I", encoder.text(text)).tolist() == ids
 
 
+def test_words_with_accents_need_no_call_of_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = packing.WordEncoder(path), packing.WordEncoder(path).library
+    letters = [chr(c) for c in range(0xA1, 0x100)]
+    chunks = [f"{a}{b}" for a in letters for b in ["", "a", "7", ",", "'s", "ß", "É"]]
+    chunks += [f"Z{a}b{a}." for a in letters] + ["<|endoftext|>", "<|ENDOFTEXT|>", "é<|startoftext|>É", "e\u0301", "ﬁ", "İ", "ΑΣ"]
+    for chunk in chunks:
+        ids = library.encode(chunk, add_special_tokens=False).ids
+        assert array("I", encoder.text(chunk)).tolist() == ids, chunk
+    plain = packing.WordEncoder(path)
+    plain.library = None
+    text = "Straße, ÉLÈVE çà\net l'été's 25."
+    assert array("I", plain.text(text)).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_a_column_are_those_of_its_texts(monkeypatch):
+    monkeypatch.setattr(packing, "STRETCH_BYTES", 40)
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [None, "", " ", "a b  c\n", "one two " * 20, "d", "", "Éa é e", "  "]
+    column = pa.array(["left out", *texts], pa.string()).slice(1)
+    assert list(encoder.texts(column)) == [encoder.text(t or "") for t in texts]
+    assert list(encoder.texts(column.slice(0, 0))) == []
+
+
+def test_known_values_are_forgotten_when_full(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_CHUNKS", 3)
+    known = packing.Known(str.encode, longest=4)
+    assert [known[key] for key in ("a", "b", "c", "d", "a", "long text")] == [b"a", b"b", b"c", b"d", b"a", b"long text"]
+    assert set(known) == {"d", "a"}
+
+
 def packed(given, capacity=64):
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.best_fit(packing.token_pieces(given, path, 1, capacity), capacity).collect()
