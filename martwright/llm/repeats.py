@@ -4,6 +4,9 @@ Any passage of the minimum length holds one anchor, the least hash of its inner
 stretches, so equal passages meet in the bucket of their anchor. Every bucket builds a
 Burrows-Wheeler transform of its pieces and derives common prefixes by increasing
 value: intervals are extended backward, breadth first, and stop at the minimum length.
+Many pieces have an anchor in common by chance, and the more so the more text there is;
+those around one anchor are cut again by longer stretches, and only what shares one of
+these with another document is transformed.
 """
 
 from __future__ import annotations
@@ -25,10 +28,15 @@ WINDOW = MIN_BYTES - ANCHOR + 1
 #: Longest piece: as many starts as one anchor can serve in plain text.
 LONGEST = MIN_BYTES + WINDOW - 1
 UNIT_BYTES = 4 << 20
+#: Units dealt to the buckets together, so that there are fewer and larger messages.
+DEALT_UNITS = 4
 #: Input bytes per bucket; its pieces come to some four times that.
 BUCKET_BYTES = 6 << 20
 #: Pieces compared in one transform; more are compared anchor by anchor in turn.
 TRANSFORM_BYTES = 2 << 20
+#: Stretches by which the pieces around one anchor are cut again, then those around one such
+#: stretch if they come to more than a transform.
+CORES = (32, 48)
 #: Places hashed at once, a multiple of 64: few enough that their numbers stay in a core's cache.
 HASHED_PLACES = 1 << 14
 SEPARATOR = 0xFF
@@ -80,6 +88,14 @@ def least_stretches(data: np.ndarray, places: int) -> np.ndarray:
     return least
 
 
+def _core_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes, 32 or 48, from each place on: one or two stretches of 32."""
+    words = _words(data)
+    ends = len(words) - 24
+    found = _hash_of([words[at : at + ends].copy() for at in range(0, 32, 8)])
+    return found if size == 32 else _mix(found[: 32 - size], found[size - 32 :])
+
+
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     size = 1
     while size * 2 <= width:
@@ -158,6 +174,46 @@ def cut_pieces(docs: list[tuple[int, int, bytes]]) -> Pieces:
     return Pieces(data, begin, size, mark, ids[own], begin - begins[own] + offsets[own])
 
 
+def joined(parts: list[Pieces]) -> Pieces:
+    """All the pieces of several units."""
+    skip = np.cumsum([0, *(len(p.data) for p in parts[:-1])])
+    begin = np.concatenate([p.begin + n for p, n in zip(parts, skip)])
+    rest = (np.concatenate([getattr(p, name) for p in parts]) for name in ("size", "mark", "doc", "at"))
+    return Pieces(np.concatenate([p.data for p in parts]), begin, *rest)
+
+
+def cut_again(pieces: Pieces, core: int) -> tuple[Pieces, np.ndarray, np.ndarray]:
+    """Parts of pieces, whose they are, and the least hash of the ``core`` bytes within them.
+
+    A part joins neighbouring passages of one piece with the same least hash, so equal
+    passages of two pieces lie in parts with the same hash. ``at`` of a part is its place in
+    the piece.
+    """
+    window = MIN_BYTES - core + 1
+    parts: list[tuple[np.ndarray, ...]] = []
+    total = np.cumsum(pieces.size)
+    first = 0
+    while first < len(pieces):
+        till = int(np.searchsorted(total, (total[first - 1] if first else 0) + HASHED_PLACES)) + 1
+        block = pieces.take(slice(first, till))
+        ends = np.cumsum(block.size)
+        begins = ends - block.size
+        least = _sliding_least(_core_hashes(block.bytes(), core), window)
+        starts = block.size - MIN_BYTES + 1
+        places = _ranges(begins, starts)
+        own = np.repeat(np.arange(len(block)), starts)
+        least = least[places]
+        fresh = np.ones(len(places), bool)
+        fresh[1:] = (least[1:] != least[:-1]) | (own[1:] != own[:-1])
+        cuts = np.flatnonzero(fresh)
+        size = np.diff(np.append(cuts, len(places))) + MIN_BYTES - 1
+        parts.append((first + own[cuts], places[cuts] - begins[own[cuts]], size, least[cuts]))
+        first = till
+    own, at, size, least = (np.concatenate(p) for p in zip(*parts))
+    mark = np.zeros(len(own), np.int64)
+    return Pieces(pieces.data, pieces.begin[own] + at, size, mark, pieces.doc[own], at), own, least
+
+
 def pack(pieces: Pieces) -> bytes:
     import zstandard
 
@@ -280,9 +336,58 @@ def repeated_starts(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return owner[found], start[found]
 
 
-def find_spans(pieces: Pieces) -> tuple[Pieces, np.ndarray, np.ndarray]:
-    """Pieces, starts and ends in them of what a smaller document holds too."""
-    anchor = pieces.anchors()
+def _transformed(pieces: Pieces, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces, in order of their anchors, and starts in them, as ``repeated_starts`` finds them."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    total = np.cumsum(pieces.size)
+    at = 0
+    while at < len(pieces):
+        till = int(np.searchsorted(total, (total[at - 1] if at else 0) + TRANSFORM_BYTES)) + 1
+        till = int(np.searchsorted(anchor, anchor[min(till, len(anchor)) - 1], side="right"))
+        number, start = repeated_starts(pieces.take(slice(at, till)))
+        parts.append((at + number, start))
+        at = till
+    return np.concatenate([n for n, _ in parts]), np.concatenate([s for _, s in parts])
+
+
+def _among(pieces: Pieces, anchor: np.ndarray, cores: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of pieces, starts and ends in them of what a smaller document holds too.
+
+    ``pieces`` are distinct around each anchor, and come in order of their anchors; equal
+    passages have the same anchor. Spans of one piece are as long as they can be.
+    """
+    none = np.empty(0, np.int64)
+    if not len(pieces):
+        return none, none, none
+    edges = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    count = np.diff(np.append(edges, len(anchor)))
+    # At first all anchors are cut again, then those of more than a transform.
+    large = len(cores) == len(CORES) or np.add.reduceat(pieces.size, edges) > TRANSFORM_BYTES
+    again = np.repeat((count > 1) & large & bool(cores), count)
+    plain = np.flatnonzero(np.repeat(count > 1, count) & ~again)
+    number, start, end = none, none, none
+    if len(plain):
+        found, start = _transformed(pieces.take(plain), anchor[plain])
+        number, end = plain[found], start + MIN_BYTES
+    if again.any():
+        rows = np.flatnonzero(again)
+        parts, own, core = cut_again(pieces.take(rows), cores[0])
+        chosen, starts, ends = _repeats(parts, core, cores[1:])
+        at = parts.at[chosen]
+        number = np.concatenate([number, rows[own[chosen]]])
+        start, end = np.concatenate([start, at + starts]), np.concatenate([end, at + ends])
+    # Neighbouring starts make one span; spans of one piece begin in the order they end.
+    sorting = np.lexsort((start, number))
+    number, start, end = number[sorting], start[sorting], end[sorting]
+    fresh = np.ones(len(start), bool)
+    fresh[1:] = (number[1:] != number[:-1]) | (start[1:] > end[:-1] - MIN_BYTES + 1)
+    begins = np.flatnonzero(fresh)
+    lasts = np.append(begins[1:], len(start)) - 1 if len(start) else begins
+    return number[begins], start[begins], end[lasts]
+
+
+def _repeats(pieces: Pieces, anchor: np.ndarray, cores: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of pieces, starts and ends in them of what a smaller document holds too."""
     _, group = np.unique(anchor, return_inverse=True)
     low = np.full(group.max() + 1 if len(group) else 0, np.iinfo(np.int64).max)
     high = np.full(len(low), np.iinfo(np.int64).min)
@@ -291,7 +396,7 @@ def find_spans(pieces: Pieces) -> tuple[Pieces, np.ndarray, np.ndarray]:
     rows = np.flatnonzero((low < high)[group])
     pieces, anchor = pieces.take(rows), anchor[rows]
     if not len(pieces):
-        return pieces, np.empty(0, np.int64), np.empty(0, np.int64)
+        return rows, np.empty(0, np.int64), np.empty(0, np.int64)
     # Equal pieces: all but those of the smallest document are repeats as a whole.
     _, first, text = np.unique(pieces.keys(), return_index=True, return_inverse=True)
     owner = np.full(len(first), np.iinfo(np.int64).max)
@@ -300,39 +405,26 @@ def find_spans(pieces: Pieces) -> tuple[Pieces, np.ndarray, np.ndarray]:
     held = np.flatnonzero(pieces.doc == owner[text])
     # Different pieces around one anchor are compared byte by byte.
     by_anchor = np.argsort(anchor[first], kind="stable")
-    around = anchor[first][by_anchor]
-    alone = np.ones(len(around), bool)
-    alone[1:] &= around[1:] != around[:-1]
-    alone[:-1] &= around[1:] != around[:-1]
-    by_anchor, around = by_anchor[~alone], around[~alone]
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-    at = 0
-    while at < len(by_anchor):
-        till = int(np.searchsorted(np.cumsum(pieces.size[first[by_anchor[at:]]]), TRANSFORM_BYTES)) + at + 1
-        till = int(np.searchsorted(around, around[min(till, len(around)) - 1], side="right"))
-        texts = by_anchor[at:till]
-        chosen = pieces.take(first[texts])
-        chosen.doc = owner[texts]
-        number, start = repeated_starts(chosen)
-        parts.append((texts[number], start))
-        at = till
-    number = np.concatenate([n for n, _ in parts] or [np.empty(0, np.int64)])
-    start = np.concatenate([s for _, s in parts] or [np.empty(0, np.int64)])
-    # Neighbouring starts make one span, which holds for every place of the piece.
-    fresh = np.ones(len(start), bool)
-    fresh[1:] = (number[1:] != number[:-1]) | (start[1:] != start[:-1] + 1)
-    begins = np.flatnonzero(fresh)
-    lasts = np.append(begins[1:], len(start)) - 1
-    number, begin, end = number[begins], start[begins], start[lasts] + MIN_BYTES if len(start) else start
+    distinct = pieces.take(first[by_anchor])
+    distinct.doc = owner[by_anchor]
+    number, begin, end = _among(distinct, anchor[first][by_anchor], cores)
+    number = by_anchor[number]
+    # A span holds for every place of the piece.
     sorting = np.argsort(number, kind="stable")
     number, begin, end = number[sorting], begin[sorting], end[sorting]
     count = np.bincount(number, minlength=len(first))
     skip = np.cumsum(count) - count
     mine = count[text[held]]
     spans = _ranges(skip[text[held]], mine)
-    rows = np.concatenate([whole, np.repeat(held, mine)])
+    chosen = np.concatenate([whole, np.repeat(held, mine)])
     starts = np.concatenate([np.zeros(len(whole), np.int64), begin[spans]])
     ends = np.concatenate([pieces.size[whole], end[spans]])
+    return rows[chosen], starts, ends
+
+
+def find_spans(pieces: Pieces) -> tuple[Pieces, np.ndarray, np.ndarray]:
+    """Pieces, starts and ends in them of what a smaller document holds too."""
+    rows, starts, ends = _repeats(pieces, pieces.anchors(), CORES)
     return pieces.take(rows), starts, ends
 
 
@@ -382,25 +474,47 @@ def _cut(buckets: int):
         if unit:
             yield unit
 
+    def told(rows: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
+        number, local, blob = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int64()), pa.array(local, pa.bool_()), pa.array(blob, pa.binary())],
+            names=["bucket", "local", "pieces"],
+        )
+
+    def dealt(units: list[Pieces]) -> Iterator[pa.RecordBatch]:
+        """Messages to the buckets; the units are joined and given up."""
+        pieces = joined(units)
+        units.clear()
+        anchor = pieces.anchors()
+        bucket = (_mix(anchor, anchor) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        del anchor, bucket
+        rows, size = [], 0
+        for number, (x, y) in enumerate(zip(edges, edges[1:])):
+            if y > x:
+                rows.append((number, False, pack(pieces.take(order[x:y]))))
+                size += len(rows[-1][2])
+            if size >= UNIT_BYTES:
+                yield told(rows)
+                rows, size = [], 0
+        if rows:
+            yield told(rows)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Pieces] = []
         for unit in units(batches):
             cuts = cut_pieces(unit)
             pieces, repeats = _within(cuts)
-            anchor = pieces.anchors()
-            bucket = (_mix(anchor, anchor) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            dealt = pieces.take(order)
-            rows = [(b, False, pack(dealt.take(slice(x, y)))) for b, (x, y) in enumerate(zip(edges, edges[1:])) if y > x]
             if len(repeats):
-                found = cuts.take(repeats)
                 spread = xxhash.xxh32_intdigest(repr(unit[0][:2])) % buckets
-                rows.append((spread, True, pack(found)))
-            number, local, blob = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(number, pa.int64()), pa.array(local, pa.bool_()), pa.array(blob, pa.binary())],
-                names=["bucket", "local", "pieces"],
-            )
+                yield told([(spread, True, pack(cuts.take(repeats)))])
+            held.append(pieces)
+            del cuts, pieces, repeats
+            if len(held) == DEALT_UNITS:
+                yield from dealt(held)
+        if held:
+            yield from dealt(held)
 
     return cut
 
@@ -461,7 +575,9 @@ def _with_spans(docs: DataFrame, spans: DataFrame, id: str) -> DataFrame:
 
 
 def _spans_of(column: pa.Array) -> list[list[tuple[int, int, int]]]:
-    return [[(s["start"], s["size"], s["check"]) for s in row or ()] for row in column.to_pylist()]
+    fields = (column.values.field(name).to_pylist() for name in ("start", "size", "check"))
+    spans, edges = list(zip(*fields)), column.offsets.to_pylist()
+    return [spans[a:b] if here else [] for a, b, here in zip(edges, edges[1:], column.is_valid().to_pylist())]
 
 
 def removal_report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

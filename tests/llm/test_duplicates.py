@@ -2,6 +2,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from martwright.llm import decontaminate, minhash, repeats
@@ -186,6 +187,67 @@ def test_large_transforms_are_split_by_anchor(spark, monkeypatch):
     assert set(found.doc.tolist()) == set(range(1, 9))
 
 
+def chance_neighbours(n, r, shared=(17, 20, 35, 45, 52, 70)):
+    """Texts that share a line, or some words of it, behind and before other words."""
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(300)]
+
+    def some(k):
+        return " ".join(r.choice(words) for _ in range(k))
+
+    line = LINE[:70]
+    return [f"{some(12)} {line[:r.choice(shared)]} {some(12)}".encode() for _ in range(n)]
+
+
+def removed_by_spans(pieces, texts):
+    found, starts, ends = repeats.find_spans(pieces)
+    gone = {i: [False] * len(t) for i, t in enumerate(texts)}
+    for i, a, b in zip(found.doc.tolist(), (found.at + starts).tolist(), (found.at + ends).tolist()):
+        gone[i][a:b] = [True] * (b - a)
+    return {i: bytes(c for c, g in zip(t, gone[i]) if not g) for i, t in enumerate(texts)}
+
+
+def test_pieces_alike_only_around_their_anchor_are_not_transformed(monkeypatch):
+    texts = chance_neighbours(400, random.Random(6), [17] * 4 + [20] * 4 + [24] * 4 + [35, 70])
+    want = {i: kept for i, (kept, _) in brute_removed(list(enumerate(texts))).items()}
+    pieces = repeats.cut_pieces([(i, 0, t) for i, t in enumerate(texts)])
+    sizes, transform = [], repeats.repeated_starts
+    monkeypatch.setattr(repeats, "repeated_starts", lambda p: sizes.append(int(p.size.sum())) or transform(p))
+    assert removed_by_spans(pieces, texts) == want
+    compared = sum(sizes)
+    _, group, count = np.unique(pieces.anchors(), return_inverse=True, return_counts=True)
+    assert 0 < compared < pieces.size[count[group] > 1].sum() / 2
+
+
+def test_one_anchor_of_many_pieces_is_split_between_transforms(monkeypatch):
+    monkeypatch.setattr(repeats, "TRANSFORM_BYTES", 4000)
+    r = random.Random(8)
+    texts = [bytes(r.choice(b"abcdefgh") for _ in range(60)) + LINE[:70].encode() for _ in range(400)]
+    texts += [t + bytes(r.choice(b"abcdefgh") for _ in range(60)) for t in chance_neighbours(200, r)]
+    want = {i: kept for i, (kept, _) in brute_removed(list(enumerate(texts))).items()}
+    pieces = repeats.cut_pieces([(i, 0, t) for i, t in enumerate(texts)])
+    sizes, transform = [], repeats.repeated_starts
+    monkeypatch.setattr(repeats, "repeated_starts", lambda p: sizes.append(int(p.size.sum())) or transform(p))
+    assert removed_by_spans(pieces, texts) == want
+    assert sizes and max(sizes) < 2 * repeats.TRANSFORM_BYTES
+
+
+def test_units_are_dealt_together(monkeypatch):
+    monkeypatch.setattr(repeats, "UNIT_BYTES", 2000)
+    texts = [t.decode() for t in chance_neighbours(60, random.Random(2))]
+    texts[3:3] = texts[:3]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    rows = [x for b in repeats._cut(3)(iter([batch])) for x in b.to_pylist()]
+    units = -(-sum(map(len, texts)) // 2000)
+    sent = [x for x in rows if not x["local"]]
+    assert units > repeats.DEALT_UNITS
+    assert len(sent) <= 3 * -(-units // repeats.DEALT_UNITS)
+    assert any(x["local"] for x in rows)
+    cuts = repeats.cut_pieces([(i, 0, t.encode()) for i, t in enumerate(texts)])
+    seen = repeats.unpack([x["pieces"] for x in rows])
+    for name in ("doc", "at", "size"):
+        assert sorted(getattr(seen, name).tolist()) == sorted(getattr(cuts, name).tolist())
+
+
 def test_repeats_on_awkward_rows(spark):
     found = repeats.removal_report(awkward(spark)).collect()
     assert len(found) == 10
